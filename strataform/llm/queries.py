@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataform.llm import groups, mixing, packing, repetition, sitelines, splitting, survivors
+from strataform.llm import groups, mainbody, mixing, packing, repetition, sitelines, splitting, survivors, textstats
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,23 @@ def p2_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return _site_lines(spark, d).cleaned()
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return mainbody.page_lines(_table(spark, d, "artifacts"), _table(spark, d, "extraction_results")).where("outside").select("artifact_id", "line_no")
+
+
+def p3_main_body(spark: SparkSession, d: str) -> DataFrame:
+    return mainbody.main_bodies(_table(spark, d, "artifacts"), _table(spark, d, "extraction_results"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = textstats.composition(_table(spark, d, "documents"))
+    return found.where((F.col("chars") > 0) & (F.col("prose_share") < textstats.PROSE_SHARE)).select("doc_id")
+
+
+def p4_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return textstats.composition(_table(spark, d, "documents"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.consolidate(_table(spark, d, "similarity_results"))
 
@@ -94,7 +111,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_signals, p2_found, p2_cleaned, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
+        p1_found, p1_signals, p2_found, p2_cleaned, p3_found, p3_main_body, p4_found, p4_statistics, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
         p9_found, p9_drawn, p9_shares, p10_found, p10_pieces,
     ]
     return {f.__name__: f for f in own}
