@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strataform.llm.examples import EXAMPLES, LINKING
 from strataform.llm.repetition import word_numbers
-from strataform.llm.tokens import code_points, letters
+from strataform.llm.tokens import code_points, letters, portions
 from strataform.runtime import store
 
 KINDS = ("prose", "list", "table", "junk")
@@ -179,13 +179,14 @@ def segment_table(documents: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            found = segments([x or "" for x in batch.column(1).to_pylist()]) if len(ids) else None
-            if found is None or not found["text"].size:
-                continue
-            flat = pa.array(found["features"].ravel())
-            offsets = pa.array(np.arange(0, flat.__len__() + 1, len(FEATURES)).astype(np.int32))
-            columns = [pa.array(ids[found["text"]]), pa.array(found["chars"]), *(pa.array(found[c].astype(np.int64)) for c in COUNTS), pa.ListArray.from_arrays(offsets, flat)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "chars", *COUNTS, "features"])
+            for start, texts in portions(batch.column(1).to_pylist()):
+                found = segments(texts)
+                if not found["text"].size:
+                    continue
+                flat = pa.array(found["features"].ravel())
+                offsets = pa.array(np.arange(0, len(flat) + 1, len(FEATURES)).astype(np.int32))
+                columns = [pa.array(ids[start + found["text"]]), pa.array(found["chars"]), *(pa.array(found[c].astype(np.int64)) for c in COUNTS), pa.ListArray.from_arrays(offsets, flat)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "chars", *COUNTS, "features"])
 
     return documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(cut, SEGMENTS)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column
@@ -43,6 +44,21 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(cp).isalpha() for cp in range(0x110000)), bool, 0x110000)
 
 
+def portions(texts: list[str], characters: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Texts in runs of about so many characters, each with the place of its first.
+
+    Keeps the arrays over a batch small; a longer text makes a run of its own.
+    """
+    start = size = 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > characters:
+            yield start, texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, texts[start:]
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
