@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strataform.llm.tokens import code_points, letters
+from strataform.llm.tokens import code_points, letters, portions
 
 #: Consecutive words that make a passage.
 PASSAGE_WORDS = 8
@@ -158,15 +158,11 @@ def repetition_signals(documents: DataFrame, covered_limit: float = COVERED_LIMI
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            if not texts:
-                continue
-            total, covered, longest, passages = repetition(texts)
-            share = covered / np.maximum(total, 1)
-            flagged = (share >= covered_limit) & (total > 0) | (longest >= longest_limit)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x) for x in (total.astype(np.int64), covered.astype(np.int64), share, longest, passages.astype(np.int64), flagged))],
-                names=[x.split()[0] for x in SIGNALS.split(", ")],
-            )
+            for start, texts in portions([t or "" for t in batch.column(1).to_pylist()]):
+                total, covered, longest, passages = repetition(texts)
+                share = covered / np.maximum(total, 1)
+                flagged = (share >= covered_limit) & (total > 0) | (longest >= longest_limit)
+                columns = (total.astype(np.int64), covered.astype(np.int64), share, longest, passages.astype(np.int64), flagged)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), *(pa.array(x) for x in columns)], names=[x.split()[0] for x in SIGNALS.split(", ")])
 
     return documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(measure, SIGNALS)
