@@ -22,7 +22,7 @@ LEAST_DOCUMENTS = 6
 #: ... and in this share of the domain's documents having a text.
 LEAST_SHARE = 0.1
 #: Expected share of false discoveries among the lines found.
-FALSE_DISCOVERY_RATE = 0.01
+FALSE_DISCOVERY_RATE = 0.05
 
 
 def line_keys(text: Column) -> Column:
