@@ -47,17 +47,16 @@ def distributions(artifacts: DataFrame, characteristics: DataFrame) -> DataFrame
 
     Nulls are dropped but for domains, which count as ``unknown``.
     """
-    joined = artifacts.join(characteristics, "artifact_id", "left").select(
-        F.array(
-            F.struct(F.lit("format").alias("section"), F.col("detected_format").alias("key")),
-            F.struct(F.lit("mime_type"), F.col("content_type")),
-            F.struct(F.lit("domain"), F.coalesce(url_host(F.col("url")), F.lit("unknown"))),
-            F.struct(F.lit("size"), size_bucket(F.col("size_bytes"))),
-            F.struct(F.lit("encoding"), F.col("encoding")),
-            F.struct(F.lit("structural_type"), F.col("structural_type")),
-            F.struct(F.lit("extraction_suitability"), F.col("extraction_suitability")),
-        ).alias("facts")
-    )
+    facts = {
+        "format": F.col("detected_format"),
+        "mime_type": F.col("content_type"),
+        "domain": F.coalesce(url_host(F.col("url")), F.lit("unknown")),
+        "size": size_bucket(F.col("size_bytes")),
+        "encoding": F.col("encoding"),
+        "structural_type": F.col("structural_type"),
+        "extraction_suitability": F.col("extraction_suitability"),
+    }
+    joined = artifacts.join(characteristics, "artifact_id", "left").select(F.array(*[F.struct(F.lit(k).alias("section"), v.alias("key")) for k, v in facts.items()]).alias("facts"))
     return joined.select(F.inline("facts")).where("key is not null").groupBy("section", "key").agg(F.count("*").alias("value"))
 
 
@@ -72,7 +71,7 @@ def format_conflicts(artifacts: DataFrame, characteristics: DataFrame) -> DataFr
 
 def message_counts(characteristics: DataFrame) -> DataFrame:
     """``(kind, message, value)``: warnings and errors by number."""
-    kinds = F.array(F.struct(F.lit("warning").alias("kind"), F.col("warnings").alias("messages")), F.struct(F.lit("error"), F.col("errors")))
+    kinds = F.array(F.struct(F.lit("warning").alias("kind"), F.col("warnings").alias("messages")), F.struct(F.lit("error").alias("kind"), F.col("errors").alias("messages")))
     found = characteristics.select(F.inline(kinds)).select("kind", F.explode("messages").alias("message"))
     return found.groupBy("kind", "message").agg(F.count("*").alias("value"))
 

@@ -44,7 +44,7 @@ def normalize(documents: DataFrame, text: str = "text") -> DataFrame:
         df = df.withColumn(f"_t{i + 1}", step(F.col(f"_t{i}")))
     names = ["unicode_normalization", *[n for n, _ in _steps()]]
     stages = [F.col(text), *[F.col(f"_t{i}") for i in range(len(names))]]
-    done: list[Column] = [F.when(a != b, F.lit(n)) for n, a, b in zip(names, stages, stages[1:], strict=True)]
+    done: list[Column] = [F.when(a != b, F.lit(n)) for n, a, b in zip(names, stages[:-1], stages[1:], strict=True)]
     last = stages[-1]
     return (
         df.withColumn("normalization_operations", F.array_compact(F.array(*done)))
