@@ -38,6 +38,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.floor(part / whole * 10000 + 0.5) / 10000).otherwise(F.lit(0.0))
 
 
+def two_places(number: Column) -> Column:
+    """A number as text with two places, rounded half up."""
+    return F.format_string("%.2f", F.floor(number * 100 + 0.5) / 100)
+
+
 def character_ngrams(text: Column, n: int) -> Column:
     """Distinct character n-grams of a text in lower case with blanks collapsed; none below n characters."""
     flat = F.lower(F.trim(F.regexp_replace(text, f"[{BLANK}]+", " ")))

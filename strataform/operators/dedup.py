@@ -1,11 +1,12 @@
 """Duplicate detection: exact by checksum, near by overlap of character trigrams.
 
-Near duplicates are found exactly.  Documents are ordered by the size of their
-trigram sets and every document is indexed by its rarest trigrams only: two sets
-with similarity t or more must share one of the first n - ceil(t n) + 1 trigrams
-of each in a common order.  Candidates whose sizes differ too much fall out in
-the join, the rest is verified on whole sets.  Equal texts are one class each and
-are compared once.
+Near duplicates are found exactly, by the pigeonhole principle.  Two sets whose
+similarity is t or more differ in at most k elements, k following from their
+sizes.  All trigrams are spread over k + 1 and a few more parts by a hash, so at
+least one part, and not an empty one, holds the same trigrams in both; documents
+are joined on the hashes of their parts and verified on whole sets.  Sizes fall
+into classes so wide that similar sets lie in the same class or in neighbouring
+ones.  Equal texts are one class each and are compared once.
 
 The min-hash sketch with its bands is there beside it for estimates and for
 those who prefer its cost to its recall.
@@ -18,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataform.functions.text import character_ngrams
+from strataform.functions.text import character_ngrams, two_places
 from strataform.operators.components import connected_components
 from strataform.runtime import store
 
@@ -49,8 +50,39 @@ def shingled(documents: DataFrame, text: str = "text", key: str = "doc_id", size
     return grams.where(F.size("grams") > 0).withColumn("n", F.size("grams"))
 
 
-def _prefix(threshold: float) -> Column:
-    return (F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1).cast("int")
+#: Parts beyond k + 1: a set with no more empty parts than this leaves them out.
+SPARE_PARTS = 3
+
+
+def size_classes(threshold: float, largest: int) -> list[int]:
+    """The largest size of each class; similar sets lie at most one class apart."""
+    tops, low = [], 1
+    while not tops or tops[-1] < largest:
+        tops.append(int(low / threshold + 1e-9))
+        low = tops[-1] + 1
+    return tops
+
+
+def part_signatures(grams: list[str], tops: list[int], threshold: float) -> np.ndarray:
+    """The hashes of a set's parts, for its own size class and the next."""
+    h = np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in grams], np.uint64)
+    mixed = h * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    own = int(np.searchsorted(tops, h.size))
+    out = []
+    for group in (own, own + 1):
+        top = tops[group] if group < len(tops) else int((tops[-1] + 1) / threshold + 1e-9)
+        parts = int((1 - threshold) / (1 + threshold) * 2 * top + 1e-9) + 1 + SPARE_PARTS
+        place = (h % np.uint64(parts)).astype(np.int64)
+        sums = np.zeros(parts, np.uint64)
+        np.add.at(sums, place, mixed)
+        keep = np.bincount(place, minlength=parts) > 0
+        if parts - keep.sum() > SPARE_PARTS:
+            keep[:] = True
+        sums = (sums ^ (np.arange(parts, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9))) + np.uint64(group) * np.uint64(0x94D049BB133111EB)
+        sums ^= sums >> np.uint64(31)
+        out.append(sums[keep])
+    return np.concatenate(out).view(np.int64)
 
 
 def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -58,21 +90,33 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
 
     Each distinct trigram set is represented by its smallest key; copies are not
     expanded into pairs.  Texts under three characters have no trigrams and
-    match nothing.
+    match nothing.  The threshold lies above 0; at 1 nothing is left to pair.
     """
     sets = shingled(documents, text, key).withColumn("grams", F.array_sort("grams"))
     classes = store(sets.groupBy("grams").agg(F.min(key).alias("id"), F.first("n").alias("n")), "trigram-sets").df
-    postings = classes.select("id", "n", F.explode("grams").alias("gram"))
-    rarity = postings.groupBy("gram").agg(F.count("*").alias("df"))
-    ordered = postings.join(rarity, "gram").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("order"))
-    index = store(ordered.select("id", "n", F.inline(F.slice("order", F.lit(1), _prefix(threshold)))).select("id", "n", "gram"), "prefixes").df
-    left, right = index.select(F.col("id").alias("a"), F.col("n").alias("na"), "gram"), index.select(F.col("id").alias("b"), F.col("n").alias("nb"), "gram")
+    largest = classes.agg(F.max("n")).first()[0] or 1
+    tops = size_classes(threshold, largest)
+    kind = documents.schema[key].dataType.simpleString()
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [part_signatures(g, tops, threshold) for g in batch.column(2).to_pylist()]
+            size = [len(s) for s in found]
+            if sum(size):
+                at = pa.array(np.repeat(np.arange(len(found)), size))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(found))], names=["id", "n", "part"])
+
+    index = store(classes.select("id", "n", "grams").mapInArrow(sign, f"id {kind}, n int, part long"), "parts").df
+    # Parts that only one set has pair nothing.
+    shared = index.groupBy("part").agg(F.count("*").alias("sets")).where("sets > 1").select("part")
+    index = index.join(shared, "part")
+    left, right = index.select(F.col("id").alias("a"), F.col("n").alias("na"), "part"), index.select(F.col("id").alias("b"), F.col("n").alias("nb"), "part")
     near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-9))
-    candidates = left.join(right, "gram").where(near).select("a", "b").distinct()
+    candidates = left.join(right, "part").where(near).select("a", "b").distinct()
     sides = classes.select("id", "grams", "n")
     joined = candidates.join(sides.select(F.col("id").alias("a"), F.col("grams").alias("ga"), F.col("n").alias("na")), "a").join(sides.select(F.col("id").alias("b"), F.col("grams").alias("gb"), F.col("n").alias("nb")), "b")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    scored = joined.select("a", "b", (shared / (F.col("na") + F.col("nb") - shared)).alias("similarity"))
+    common = F.size(F.array_intersect("ga", "gb"))
+    scored = joined.select("a", "b", (common / (F.col("na") + F.col("nb") - common)).alias("similarity"))
     return scored.where(F.col("similarity") >= threshold)
 
 
@@ -144,7 +188,7 @@ def representatives(members: DataFrame) -> DataFrame:
     rank = F.struct((~F.col("has_text")).alias("bare"), (-score).alias("worse"), warnings.alias("warnings"), F.col("doc_id"))
     best = members.groupBy("group_id").agg(F.min(rank).alias("r"))
     parts = F.array_compact(
-        F.array(F.when(~F.col("r.bare"), "has_normalized_text"), F.when(F.col("r.worse") < 0, F.format_string("quality_score_%.2f", -F.col("r.worse"))), F.when(F.col("r.warnings") == 0, "no_warnings"))
+        F.array(F.when(~F.col("r.bare"), "has_normalized_text"), F.when(F.col("r.worse") < 0, F.concat(F.lit("quality_score_"), two_places(-F.col("r.worse")))), F.when(F.col("r.warnings") == 0, "no_warnings"))
     )
     basis = F.when(F.size(parts) == 0, "stable_id_tiebreaker").otherwise(F.concat(F.array_join(parts, "_"), F.lit("_stable_id")))
     return best.select("group_id", F.col("r.doc_id").alias("doc_id"), basis.alias("selection_basis"))

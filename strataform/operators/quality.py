@@ -25,7 +25,7 @@ def text_metrics(documents: DataFrame, text: str = "text") -> DataFrame:
     """Add counts and lengths of characters, words and lines; all zero for null and empty texts."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = documents.withColumn("_lengths", F.transform(lines(t), F.length)).withColumn("_words", word_count(t))
-    visible = count_of(t, "^" + BLANK)
+    visible = F.length(F.regexp_replace(t, f"[{BLANK}]+", ""))
     n = F.size("_lengths")
     total = F.aggregate("_lengths", F.lit(0).cast("long"), lambda a, x: a + x)
     return (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataform.functions.text import two_places
 from strataform.plans.spec import Specification, below_score, format_rule, language_rule, length_of, score, too_long, too_short
 
 STAGES = ("format", "language", "length", "quality")
@@ -22,7 +23,7 @@ def staged(corpus: DataFrame, spec: Specification) -> DataFrame:
         (~format_rule(spec), F.concat(F.lit("format:"), F.coalesce(F.nullif("detected_format", F.lit("")), "source_mime_type", unknown))),
         (~language_rule(spec), F.concat(F.lit("language:"), F.coalesce("language", unknown))),
         (too_short(spec) | too_long(spec), F.when(too_short(spec), F.lit(f"below_minimum:{low}")).otherwise(F.lit(f"above_maximum:{high}"))),
-        (below_score(spec), F.format_string("below_threshold:%.2f", score())),
+        (below_score(spec), F.concat(F.lit("below_threshold:"), two_places(score()))),
     ]
     stage, reason = F.lit(None).cast("int"), F.lit(None).cast("string")
     for i in range(len(fails) - 1, -1, -1):
