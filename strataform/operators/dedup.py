@@ -2,11 +2,11 @@
 
 Near duplicates are found exactly, by the pigeonhole principle.  Two sets whose
 similarity is t or more differ in at most k elements, k following from their
-sizes.  All trigrams are spread over k + 1 and a few more parts by a hash, so at
-least one part, and not an empty one, holds the same trigrams in both; documents
-are joined on the hashes of their parts and verified on whole sets.  Sizes fall
-into classes so wide that similar sets lie in the same class or in neighbouring
-ones.  Equal texts are one class each and are compared once.
+sizes.  All trigrams are spread over k + m + 1 parts by a hash, so at least m + 1
+parts hold the same trigrams in both; documents are joined on the hashes of their
+parts, pairs with enough equal parts are verified on whole sets.  Sizes fall into
+classes so wide that similar sets lie in the same class or in neighbouring ones.
+Equal texts are one class each and are compared once.
 
 The min-hash sketch with its bands is there beside it for estimates and for
 those who prefer its cost to its recall.
@@ -50,10 +50,6 @@ def shingled(documents: DataFrame, text: str = "text", key: str = "doc_id", size
     return grams.where(F.size("grams") > 0).withColumn("n", F.size("grams"))
 
 
-#: Parts beyond k + 1: a set with no more empty parts than this leaves them out.
-SPARE_PARTS = 3
-
-
 def size_classes(threshold: float, largest: int) -> list[int]:
     """The largest size of each class; similar sets lie at most one class apart."""
     tops, low = [], 1
@@ -63,8 +59,12 @@ def size_classes(threshold: float, largest: int) -> list[int]:
     return tops
 
 
-def part_signatures(grams: list[str], tops: list[int], threshold: float) -> np.ndarray:
-    """The hashes of a set's parts, for its own size class and the next."""
+def part_signatures(grams: list[str], tops: list[int], threshold: float) -> list[tuple[int, np.ndarray, int, int]]:
+    """For a set's size class and the next: the group, hashes of parts, empty parts, and equal parts needed.
+
+    Empty parts are left out unless there are so many that two sets might agree
+    in those alone.
+    """
     h = np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in grams], np.uint64)
     mixed = h * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(29)
@@ -72,17 +72,20 @@ def part_signatures(grams: list[str], tops: list[int], threshold: float) -> np.n
     out = []
     for group in (own, own + 1):
         top = tops[group] if group < len(tops) else int((tops[-1] + 1) / threshold + 1e-9)
-        parts = int((1 - threshold) / (1 + threshold) * 2 * top + 1e-9) + 1 + SPARE_PARTS
+        differ = int((1 - threshold) / (1 + threshold) * 2 * top + 1e-9)
+        needed = 3 + differ // 3 + 1
+        parts = differ + needed
         place = (h % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
         np.add.at(sums, place, mixed)
-        keep = np.bincount(place, minlength=parts) > 0
-        if parts - keep.sum() > SPARE_PARTS:
-            keep[:] = True
-        sums = (sums ^ (np.arange(parts, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9))) + np.uint64(group) * np.uint64(0x94D049BB133111EB)
+        filled = np.bincount(place, minlength=parts) > 0
+        empty = int(parts - filled.sum())
+        if empty >= needed:
+            filled[:] = True
+        sums ^= np.arange(parts, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
         sums ^= sums >> np.uint64(31)
-        out.append(sums[keep])
-    return np.concatenate(out).view(np.int64)
+        out.append((group, sums[filled].view(np.int64), empty, needed))
+    return out
 
 
 def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -100,19 +103,19 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [part_signatures(g, tops, threshold) for g in batch.column(2).to_pylist()]
-            size = [len(s) for s in found]
-            if sum(size):
-                at = pa.array(np.repeat(np.arange(len(found)), size))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(found))], names=["id", "n", "part"])
-
-    index = store(classes.select("id", "n", "grams").mapInArrow(sign, f"id {kind}, n int, part long"), "parts").df
-    # Parts that only one set has pair nothing.
-    shared = index.groupBy("part").agg(F.count("*").alias("sets")).where("sets > 1").select("part")
-    index = index.join(shared, "part")
-    left, right = index.select(F.col("id").alias("a"), F.col("n").alias("na"), "part"), index.select(F.col("id").alias("b"), F.col("n").alias("nb"), "part")
+            found = [(i, *part) for i, g in enumerate(batch.column(2).to_pylist()) for part in part_signatures(g, tops, threshold)]
+            if found:
+                size = [f[2].size for f in found]
+                row, group, empty, needed = (np.repeat([f[k] for f in found], size) for k in (0, 1, 3, 4))
+                at = pa.array(row)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(group.astype(np.int32)), pa.array(np.concatenate([f[2] for f in found])), pa.array(empty.astype(np.int32)), pa.array(needed.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "grp", "part", "empty", "needed"])
+
+    index = store(classes.select("id", "n", "grams").mapInArrow(sign, f"id {kind}, n int, grp int, part long, empty int, needed int"), "parts").df
+    side = lambda name: index.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("empty").alias(f"e{name}"), "grp", "part", *(["needed"] if name == "a" else []))
     near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-9))
-    candidates = left.join(right, "part").where(near).select("a", "b").distinct()
+    agreeing = side("a").join(side("b"), ["grp", "part"]).where(near).groupBy("a", "b", "grp").agg(F.count("*").alias("equal"), F.first("needed").alias("needed"), F.first(F.least("ea", "eb")).alias("bare"))
+    candidates = agreeing.where(F.col("equal") >= F.greatest(F.lit(1), F.col("needed") - F.col("bare"))).select("a", "b").distinct()
     sides = classes.select("id", "grams", "n")
     joined = candidates.join(sides.select(F.col("id").alias("a"), F.col("grams").alias("ga"), F.col("n").alias("na")), "a").join(sides.select(F.col("id").alias("b"), F.col("grams").alias("gb"), F.col("n").alias("nb")), "b")
     common = F.size(F.array_intersect("ga", "gb"))
