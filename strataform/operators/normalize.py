@@ -11,12 +11,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Normalized text kept at most, in characters; the checksum is that of the whole.
 MAX_CHARACTERS = 10_000_000
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compose(text: pd.Series) -> pd.Series:
     """Canonical composition (NFC)."""
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")

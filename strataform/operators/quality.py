@@ -10,6 +10,7 @@ import xml.etree.ElementTree as ET
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataform.functions.text import BLANK, DIGIT, count_of, lines, ratio, word_count, words
 
@@ -110,7 +111,7 @@ def quality_score(character_count: Column) -> Column:
     return F.coalesce(F.least(character_count / FULL_SCORE, F.lit(1.0)), F.lit(0.0))
 
 
-@F.pandas_udf("items long, empty long, detail string")
+@F.pandas_udf(T.StructType([T.StructField("items", T.LongType()), T.StructField("empty", T.LongType()), T.StructField("detail", T.StringType())]))
 def format_signals(fmt: pd.Series, text: pd.Series) -> pd.DataFrame:
     """Items and empty ones of structured text: fields of JSON, cells of CSV, elements of XML.
 
