@@ -108,7 +108,7 @@ def completeness_signals(documents: DataFrame, text: str = "text", warnings: str
 
 def quality_score(character_count: Column) -> Column:
     """Characters by a thousand, at most 1; 0 where the count is missing."""
-    return F.coalesce(F.least(character_count / FULL_SCORE, F.lit(1.0)), F.lit(0.0))
+    return F.least(F.coalesce(character_count, F.lit(0)) / FULL_SCORE, F.lit(1.0))
 
 
 @F.pandas_udf(T.StructType([T.StructField("items", T.LongType()), T.StructField("empty", T.LongType()), T.StructField("detail", T.StringType())]))

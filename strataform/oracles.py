@@ -18,7 +18,7 @@ _CORPUS = """
                 when 'it' then 'Italian' when 'nl' then 'Dutch' else quality_signals.language.code end as language,
             canonical_quality_signals.text_metrics.character_count as character_count, coalesce(len(warnings), 0)::bigint as warning_count, created_at, updated_at,
             coalesce(length(normalized_text), 0)::bigint as n,
-            coalesce(least(canonical_quality_signals.text_metrics.character_count / 1000, 1.0), 0.0)::double as score
+            least(coalesce(canonical_quality_signals.text_metrics.character_count, 0) / 1000, 1.0)::double as score
         from normalized_documents qualify row_number() over (partition by id order by updated_at desc) = 1)
 """
 
@@ -127,7 +127,7 @@ SQL = {
     "artifact_availability": """
         select artifact_id, case when raw_data is null then 'unavailable' when lower(checksum_sha256) <> sha256(raw_data) then 'corrupted' else 'available' end as availability from artifacts
     """,
-    "quality_scores": "select doc_id, coalesce(least(length(text) / 1000, 1.0), 0.0)::double as quality_score from documents",
+    "quality_scores": "select doc_id, least(coalesce(length(text), 0) / 1000, 1.0)::double as quality_score from documents",
     "text_metrics": rf"""
         with {_LINES}, f as (
             select doc_id, length(t) as c, len(regexp_extract_all(t, '[^{_BLANK}]+')) as w, len(l) as k, length(regexp_replace(t, '[{_BLANK}]+', '', 'g')) as v,
