@@ -21,6 +21,8 @@ from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_j
 LEAST_DOCUMENTS = 6
 #: ... and in this share of the domain's documents having a text.
 LEAST_SHARE = 0.1
+#: Documents of the lines' mean frequency that every comparison adds outside.
+PRIOR_DOCUMENTS = 100
 #: Expected share of false discoveries among the lines found.
 FALSE_DISCOVERY_RATE = 0.05
 
@@ -70,31 +72,36 @@ class SiteLines:
         everything = docs.count()
         each = docs.select("site", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
         counted = each.groupBy("site", "line").agg(F.count("*").alias("n"))
-        # A second aggregation on the line alone gives its documents everywhere.
-        per_site = store(counted, "line-counts")
-        overall = per_site.df.groupBy("line").agg(F.sum("n").alias("all_n"), F.count("*").alias("in_sites"))
-        frequent = per_site.df.where(F.col("n") >= 2)
-        tested = frequent.join(overall, "line").join(sites, "site")
-        self.tested = store(self._significance(tested, everything), "line-tests")
+        frequent = (F.col("n") >= least_documents) & (F.col("n") >= F.lit(least_share) * F.col("site_docs"))
+        per_site = store(counted.join(sites, "site").withColumn("frequent", frequent), "line-counts")
+        taken = lambda c: F.coalesce(F.sum(F.when(F.col("frequent"), F.col(c))), F.lit(0))
+        overall = per_site.df.groupBy("line").agg(F.sum("n").alias("all_n"), taken("n").alias("taken_n"), taken("site_docs").alias("taken_docs"))
+        whole = per_site.df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("lines")).first()
+        mean_rate = whole.n / max(1, whole.lines * everything)
+        self.tested = store(self._significance(per_site.df.where("n >= 2").join(overall, "line"), everything, mean_rate), "line-tests")
         per_site.drop()
-        self.found = store(self._discoveries(self.tested.df, rate).where((F.col("n") >= least_documents) & (F.col("n") >= F.lit(least_share) * F.col("site_docs"))), "site-found")
+        self.found = store(self._discoveries(self.tested.df, rate).where("frequent"), "site-found")
 
     @staticmethod
-    def _significance(tested: DataFrame, everything: int) -> DataFrame:
-        """Signed log-likelihood ratio of a line's frequency inside and outside its site.
+    def _significance(tested: DataFrame, everything: int, mean_rate: float) -> DataFrame:
+        """Log-likelihood ratio of a line's excess inside its site over its frequency outside.
 
-        The outside gets half a document with and half one without the line, so
-        that a lone site can be compared too.
+        Outside are the documents of all other sites, but for those in which the
+        line is as frequent itself: a prompt that many sites share is furniture
+        in each of them.  PRIOR_DOCUMENTS documents with the lines' mean frequency
+        are added, so that a lone site can be compared too.
         """
-        a, b = F.col("n").cast("double"), F.col("all_n") - F.col("n") + 0.5
-        inside, outside = F.col("site_docs").cast("double"), F.lit(everything) - F.col("site_docs") + 1.0
+        own = lambda c: F.when(F.col("frequent"), 0).otherwise(F.col(c))
+        a, inside = F.col("n").cast("double"), F.col("site_docs").cast("double")
+        b = F.col("all_n") - F.col("taken_n") - own("n") + PRIOR_DOCUMENTS * mean_rate
+        outside = F.lit(everything) - F.col("taken_docs") - own("site_docs") + float(PRIOR_DOCUMENTS)
         rate = (a + b) / (inside + outside)
 
         def term(k: Column, m: Column, p: Column) -> Column:
             return F.when(k > 0, k * F.log(k / (m * p))).otherwise(0.0) + F.when(m - k > 0, (m - k) * F.log((m - k) / (m * (1 - p)))).otherwise(0.0)
 
         ratio = 2 * (term(a, inside, rate) + term(b, outside, rate))
-        return tested.select("site", "line", "n", "site_docs", F.when(a / inside > b / outside, ratio).otherwise(0.0).alias("ratio"))
+        return tested.select("site", "line", "n", "site_docs", "frequent", F.when(a / inside > b / outside, ratio).otherwise(0.0).alias("ratio"))
 
     @staticmethod
     def _discoveries(tested: DataFrame, rate: float) -> DataFrame:
