@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataform.llm import groups, mainbody, mixing, packing, repetition, sitelines, splitting, survivors, textstats
+from strataform.llm import groups, language, mainbody, mixing, packing, repetition, sitelines, splitting, survivors, textstats
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,18 @@ def p4_statistics(spark: SparkSession, d: str) -> DataFrame:
     return textstats.composition(_table(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.label_cases(language.detect_language(_table(spark, d, "documents")))
+
+
+def p5_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.detect_language(_table(spark, d, "documents")).select("doc_id", "label", "language", "confidence", F.size("mixed").alias("languages"))
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.language_segments(_table(spark, d, "documents"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.consolidate(_table(spark, d, "similarity_results"))
 
@@ -111,7 +123,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_signals, p2_found, p2_cleaned, p3_found, p3_main_body, p4_found, p4_statistics, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
+        p1_found, p1_signals, p2_found, p2_cleaned, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
         p9_found, p9_drawn, p9_shares, p10_found, p10_pieces,
     ]
     return {f.__name__: f for f in own}
