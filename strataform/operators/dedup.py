@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strataform.functions.text import character_ngrams, two_places
 from strataform.operators.components import connected_components
-from strataform.runtime import store
+from strataform.runtime import hot_rows, lookup_join, store
 
 THRESHOLD = 0.85
 SHINGLE = 3
@@ -39,15 +39,22 @@ def exact_groups(documents: DataFrame, checksum: str, key: str = "doc_id") -> Da
 
 
 def exact_memberships(documents: DataFrame, checksum: str, tier: str, key: str = "doc_id") -> DataFrame:
-    """``(tier, group_id, key)`` of every document whose checksum another one shares."""
-    groups = exact_groups(documents, checksum, key).select("group_id", F.col("checksum").alias(checksum))
-    return documents.select(key, checksum).join(groups, checksum).select(F.lit(tier).alias("tier"), "group_id", key)
+    """``(tier, group_id, key)`` of every document whose checksum another one shares.
+
+    A checksum that many documents share is joined apart from the rest.
+    """
+    groups = store(exact_groups(documents, checksum, key).select("group_id", "size", F.col("checksum").alias(checksum)), "exact-groups").df
+    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    pairs = groups.select(checksum, "group_id")
+    joined = lookup_join(documents.select(checksum, key), checksum, pairs, checksum, hot_rows(groups, "size", total).select(checksum, "group_id"))
+    return joined.select(F.lit(tier).alias("tier"), "group_id", key)
 
 
 def shingled(documents: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
-    """``(key, grams, n)`` of documents with at least one n-gram."""
-    grams = documents.select(key, character_ngrams(F.col(text), size).alias("grams"))
-    return grams.where(F.size("grams") > 0).withColumn("n", F.size("grams"))
+    """``(key, grams, n, class)`` of documents with at least one n-gram; equal sets have equal classes."""
+    grams = documents.select(key, F.array_sort(character_ngrams(F.col(text), size)).alias("grams"))
+    known = grams.where(F.size("grams") > 0)
+    return known.withColumn("n", F.size("grams")).withColumn("class", F.sha2(F.array_join("grams", "\x00"), 256))
 
 
 def size_classes(threshold: float, largest: int) -> list[int]:
@@ -95,8 +102,8 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
     expanded into pairs.  Texts under three characters have no trigrams and
     match nothing.  The threshold lies above 0; at 1 nothing is left to pair.
     """
-    sets = shingled(documents, text, key).withColumn("grams", F.array_sort("grams"))
-    classes = store(sets.groupBy("grams").agg(F.min(key).alias("id"), F.first("n").alias("n")), "trigram-sets").df
+    sets = shingled(documents, text, key)
+    classes = store(sets.groupBy("class").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("grams").alias("grams")).drop("class"), "trigram-sets").df
     largest = classes.agg(F.max("n")).first()[0] or 1
     tops = size_classes(threshold, largest)
     kind = documents.schema[key].dataType.simpleString()
@@ -128,8 +135,10 @@ def similar_classes(documents: DataFrame, text: str = "text", key: str = "doc_id
 
     The group id is the smallest key of the group.
     """
-    sets = shingled(documents, text, key).withColumn("grams", F.array_sort("grams"))
-    member = store(sets.groupBy("grams").agg(F.min(key).alias("class_id"), F.collect_list(key).alias("keys")).select("class_id", F.explode("keys").alias(key)), "classes").df
+    sets = store(shingled(documents, text, key).select(key, "class"), "sets").df
+    classes = store(sets.groupBy("class").agg(F.min(key).alias("class_id"), F.count("*").alias("size")), "classes").df
+    hot = hot_rows(classes, "size", sets.count()).select("class", "class_id")
+    member = store(lookup_join(sets, "class", classes.select("class", "class_id"), "class", hot).select(key, "class_id"), "members").df
     pairs = similar_pairs(documents, text, key, threshold)
     groups = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     joined = member.join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(key, F.coalesce("group_id", "class_id").alias("group_id"))
