@@ -62,30 +62,27 @@ def label_code(label: str | None) -> str | None:
 
 
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
-_STOP = re.compile(r"(?<=[.!?…])[\"”»’)\]]*\s+(?![a-zà-ÿ])|(?<=!!)\s+")
-_END = re.compile(r"[.!?…][\"”»“’)\]]*\s*$")
-_WORD = re.compile(r"[^\W\d_]{2,}")
-_SPACES = re.compile(r"\s+")
+#: Blanks after an end mark, or after closing marks that follow one; no small letter may follow.
+_STOP = re.compile(r"(?:(?<=[.!?…])|(?<=[.!?…][\"”»’)\]])) (?![a-zà-ÿ])")
+_ENDS = frozenset(".!?…")
+_CLOSERS = "\"”»“’)] "
 
 
 def sentences(text: str) -> list[tuple[str, bool]]:
     """The sentences of a text in order, each with whether it is whole.
 
-    Lines broken within a paragraph are joined.  What lacks an end mark is not
-    whole; it is kept all the same.
+    Lines broken within a paragraph are joined.  What lacks an end mark or has
+    too few words is not whole; it is kept all the same.
     """
     out = []
     for paragraph in _PARAGRAPH.split(text.replace("\r", "")):
-        flat = _SPACES.sub(" ", paragraph).strip()
-        if not flat:
-            continue
-        for piece in _STOP.split(flat):
-            if piece:
-                out.append((piece, _END.search(piece) is not None and len(_WORD.findall(piece)) >= SENTENCE_WORDS))
+        flat = " ".join(paragraph.split())
+        if flat:
+            out += [(p, p.count(" ") >= SENTENCE_WORDS - 1 and p.rstrip(_CLOSERS)[-1:] in _ENDS) for p in _STOP.split(flat) if p]
     return out
 
 
-_OTHER = re.compile(r"(?:[^\w'’]|[\d_])+")
+_OTHER = re.compile(r"(?:[^\w'’ ]|[\d_])+")
 
 
 def words_of(piece: str) -> str:
@@ -93,7 +90,7 @@ def words_of(piece: str) -> str:
 
     Digits, marks and symbols say how a text is set, not its language.
     """
-    return _OTHER.sub(" ", piece.lower()).strip()
+    return " ".join(_OTHER.sub(" ", piece.lower()).split())
 
 
 def spell(piece: str) -> bytes:
@@ -103,6 +100,8 @@ def spell(piece: str) -> bytes:
 
 def windows(data: bytes) -> list[bytes]:
     """A sentence's bytes in windows, cut at blanks where there are any."""
+    if len(data) <= WINDOW:
+        return [data] if data else []
     out = []
     while len(data) > WINDOW:
         cut = data.rfind(b" ", WINDOW // 2, WINDOW)
@@ -327,7 +326,7 @@ def label_cases(detected: DataFrame) -> DataFrame:
 
     A label is wrong only if the network is sure of another language.
     """
-    mixed = detected.where(F.size("mixed") > 1).select("doc_id", F.explode("mixed.lang").alias("lang"))
     wrong = F.col("label").isNull() | (F.col("label") != F.col("language")) & (F.col("confidence") >= CONTRADICTION)
-    single = detected.where((F.size("mixed") < 2) & F.col("language").isNotNull() & wrong)
-    return mixed.unionByName(single.select("doc_id", F.col("language").alias("lang"))).distinct()
+    found = F.when(F.size("mixed") > 1, F.col("mixed.lang")).when(F.col("language").isNotNull() & wrong, F.array("language"))
+    # One pass: a union would label every text twice.
+    return detected.select("doc_id", F.explode(found).alias("lang")).distinct()
