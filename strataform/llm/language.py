@@ -128,14 +128,20 @@ class Network:
 
     def __init__(self, weights: dict[str, np.ndarray]):
         f = np.float32
-        self.size = weights["forward_u"].shape[1]
-        self.tables, self.recurrent = [], []
+        n, width = weights["forward_u"].shape[1], weights["embedding"].shape[1]
+        self.size = n
+        # A symbol's column: its embedding, a one for the biases and a one if it is padding.
+        self.symbols = np.zeros((width + 2, PAD + 1), f)
+        self.symbols[:width, :PAD] = weights["embedding"].T
+        self.symbols[width] = 1
+        self.symbols[width + 1, PAD] = 1
+        self.gates, self.fresh, self.recurrent = [], [], []
         for side in ("forward", "backward"):
-            table = (weights[f"{side}_w"] @ weights["embedding"].T + weights[f"{side}_b"][:, None]).astype(f)
-            pad = np.zeros((table.shape[0], 1), f)
-            pad[self.size : 2 * self.size] = -1e6  # a shut update gate
-            self.tables.append(np.ascontiguousarray(np.hstack([table, pad])))
-            self.recurrent.append(np.ascontiguousarray(weights[f"{side}_u"].astype(f)))
+            read = np.hstack([weights[f"{side}_w"], weights[f"{side}_b"][:, None], np.zeros((3 * n, 1))])
+            read[n : 2 * n, -1] = -1e6  # padding shuts the update gate
+            self.gates.append(np.ascontiguousarray(np.hstack([weights[f"{side}_u"][: 2 * n], read[: 2 * n]]).astype(f)))
+            self.fresh.append(np.ascontiguousarray(read[2 * n :].astype(f)))
+            self.recurrent.append(np.ascontiguousarray(weights[f"{side}_u"][2 * n :].astype(f)))
         self.out = np.ascontiguousarray(weights["out_w"].astype(f))
         self.bias = weights["out_b"].astype(f)[:, None]
 
@@ -145,20 +151,26 @@ class Network:
         with np.load(WEIGHTS) as stored:
             return Network(dict(stored))
 
-    def _step(self, side: int, symbols: np.ndarray, h: np.ndarray, g: np.ndarray, a: np.ndarray) -> None:
-        n = self.size
-        np.take(self.tables[side], symbols, axis=1, out=g, mode="clip")
-        np.matmul(self.recurrent[side], h, out=a)
-        gates = a[: 2 * n]
-        gates += g[: 2 * n]
-        np.clip(gates, 0, 1, out=gates)
-        new = a[2 * n :]
-        new *= gates[:n]
-        new += g[2 * n :]
-        np.tanh(new, out=new)
-        new -= h
-        new *= gates[n:]
-        h += new
+    def _states(self, side: int, symbols: np.ndarray, order: range) -> Iterator[tuple[int, np.ndarray]]:
+        """The state of one direction after each position, in one array that is used again."""
+        n, lanes, f = self.size, symbols.shape[1], np.float32
+        both = np.zeros((n + self.symbols.shape[0], lanes), f)  # the state above the symbol's column
+        h, e = both[:n], both[n:]
+        gates, new, kept = np.empty((2 * n, lanes), f), np.empty((n, lanes), f), np.empty((n, lanes), f)
+        zero, one = f(0), f(1)
+        for t in order:
+            np.take(self.symbols, symbols[t], axis=1, out=e, mode="clip")
+            np.matmul(self.gates[side], both, out=gates)
+            np.clip(gates, zero, one, out=gates)
+            np.matmul(self.recurrent[side], h, out=kept)
+            kept *= gates[:n]
+            np.matmul(self.fresh[side], e, out=new)
+            new += kept
+            np.tanh(new, out=new)
+            new -= h
+            new *= gates[n:]
+            h += new
+            yield t, h
 
     def positions(self, symbols: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Class probabilities (classes, lanes) of each position, the last first.
@@ -166,23 +178,17 @@ class Network:
         ``symbols`` is (positions, lanes), padded at the end with ``PAD``.
         """
         steps, lanes = symbols.shape
-        n, f = self.size, np.float32
-        g, a = np.empty((3 * n, lanes), f), np.empty((3 * n, lanes), f)
-        ahead = np.empty((steps, n, lanes), f)
-        h = np.zeros((n, lanes), f)
-        for t in range(steps):
-            self._step(0, symbols[t], h, g, a)
-            ahead[t] = h
-        h = np.zeros((n, lanes), f)
+        n = self.size
         left, right = np.ascontiguousarray(self.out[:, :n]), np.ascontiguousarray(self.out[:, n:])
-        for t in range(steps - 1, -1, -1):
-            self._step(1, symbols[t], h, g, a)
-            p = left @ ahead[t]
+        ahead = np.empty((steps, NONE + 1, lanes), np.float32)
+        for t, h in self._states(0, symbols, range(steps)):
+            np.matmul(left, h, out=ahead[t])
+        for t, h in self._states(1, symbols, range(steps - 1, -1, -1)):
+            p = ahead[t]
             p += right @ h
             p += self.bias
-            p -= p.max(0)
-            np.exp(p, out=p)
-            p /= p.sum(0)
+            np.exp(p, out=p)  # the scores are bounded by the weights, far from overflow
+            p *= 1 / p.sum(0)
             yield t, p
 
     def pool(self, data: list[bytes]) -> np.ndarray:
@@ -216,45 +222,52 @@ DETECTED = "doc_id long, label string, language string, confidence double, mixed
 
 def _detect(texts: list[str]) -> list[tuple[str | None, float, list[dict]]]:
     """Language, confidence and the languages of a mixed text, for each text."""
-    network = Network.load()
     index: dict[bytes, int] = {}  # equal windows are labelled once
-    rows: list[list[tuple[list[int], bool, int]]] = []
-    marks = []
-    for text in texts:
-        mine, shown, letters = [], 0, 0
-        for piece, whole in sentences(text):
+    shown, doc, first, whole, letters, used = np.zeros(len(texts)), [], [], [], [], []
+    for i, text in enumerate(texts):
+        n_shown = 0
+        for piece, complete in sentences(text):
+            n_shown += len(piece) - piece.count(" ")
             words = words_of(piece)
-            n = len(words) - words.count(" ")
-            mine.append(([index.setdefault(w, len(index)) for w in windows(words.encode("utf-8", "replace"))], whole, n))
-            shown, letters = shown + len(piece) - piece.count(" "), letters + n
-        rows.append(mine)
-        marks.append(1 - letters / max(1, shown))
+            if words:
+                doc.append(i)
+                first.append(len(used))
+                whole.append(complete)
+                letters.append(len(words) - words.count(" "))
+                used += [index.setdefault(w, len(index)) for w in windows(words.encode("utf-8", "replace"))]
+        shown[i] = n_shown
+    nothing: tuple[str | None, float, list[dict]] = (None, 0.0, [])
+    if not used:
+        return [nothing] * len(texts)
     data = list(index)
-    pooled = network.pool(data) if data else np.zeros((0, NONE + 1), np.float32)
-    size = [len(d) for d in data]
+    at = np.array(used)
+    size = np.array([len(d) for d in data], np.float32)[at]
+    # A sentence's probabilities are those of its windows by length, a text's those of its sentences by letters.
+    of_sentence = np.add.reduceat(Network.load().pool(data)[at] * size[:, None], first) / np.add.reduceat(size, first)[:, None]
+    document, n = np.array(doc), np.array(letters, np.float64)
+    total = np.stack([np.bincount(document, n * of_sentence[:, k], len(texts)) for k in range(NONE + 1)], axis=1)
+    spelled = np.bincount(document, n, len(texts))
+    best, sure = of_sentence.argmax(1), of_sentence.max(1)
+    counted = np.array(whole) & (best != NONE) & (sure >= SENTENCE_CONFIDENCE)
+    count, certain = np.zeros((len(texts), NONE), np.int64), np.zeros((len(texts), NONE))
+    np.add.at(count, (document[counted], best[counted]), 1)
+    np.add.at(certain, (document[counted], best[counted]), sure[counted])
+    marks = 1 - spelled / np.maximum(1, shown)
+    least = LANGUAGE_SHARE + MARK_WEIGHT * (np.clip(marks, FREE_MARKS, MOST_MARKS) - FREE_MARKS)
+    holds = (spelled >= LEAST_LETTERS) & (total[:, :NONE].max(1) >= least * spelled)
+    leading = total[:, :NONE].argmax(1)
+    enough = np.maximum(MIXED_SENTENCES, MISTAKEN * count.sum(1))
+    several = (count >= enough[:, None]) & holds[:, None]
+    mixed_text = several.sum(1) > 1
     out = []
-    for mine, share in zip(rows, marks, strict=True):
-        total, letters = np.zeros(NONE + 1), 0
-        whole_count, whole_sure = np.zeros(NONE, np.int64), np.zeros(NONE)
-        for parts, whole, n in mine:
-            if not parts:
-                continue
-            p = pooled[parts[0]] if len(parts) == 1 else np.average(pooled[parts], axis=0, weights=[size[i] for i in parts])
-            total += n * p
-            letters += n
-            best = int(p.argmax())
-            if whole and best != NONE and p[best] >= SENTENCE_CONFIDENCE:
-                whole_count[best] += 1
-                whole_sure[best] += p[best]
-        least = LANGUAGE_SHARE + MARK_WEIGHT * (min(max(share, FREE_MARKS), MOST_MARKS) - FREE_MARKS)
-        if letters < LEAST_LETTERS or total[:NONE].max() < least * letters:
-            out.append((None, float(total[NONE] / letters) if letters else 0.0, []))
-            continue
-        best = int(total[:NONE].argmax())
-        enough = max(MIXED_SENTENCES, MISTAKEN * whole_count.sum())
-        several = [k for k in range(NONE) if whole_count[k] >= enough]
-        mixed = [{"lang": LANGUAGES[k], "sentences": int(whole_count[k]), "confidence": float(whole_sure[k] / whole_count[k])} for k in several] if len(several) > 1 else []
-        out.append((LANGUAGES[best], float(total[best] / letters), mixed))
+    for i in range(len(texts)):
+        if not spelled[i]:
+            out.append(nothing)
+        elif not holds[i]:
+            out.append((None, float(total[i, NONE] / spelled[i]), []))
+        else:
+            mixed = [{"lang": LANGUAGES[k], "sentences": int(count[i, k]), "confidence": float(certain[i, k] / count[i, k])} for k in np.flatnonzero(several[i])] if mixed_text[i] else []
+            out.append((LANGUAGES[leading[i]], float(total[i, leading[i]] / spelled[i]), mixed))
     return out
 
 
