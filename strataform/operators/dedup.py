@@ -216,9 +216,11 @@ def memberships(documents: DataFrame, mode: str = "near", threshold: float = THR
     none = documents.select(F.lit("").alias("tier"), F.col("doc_id").alias("group_id"), "doc_id").where("false")
     if mode == "none":
         return none
-    found = exact_memberships(documents, "raw_checksum", TIERS[0])
+    # Checksums are costly to derive and cheap to keep; texts are not kept.
+    narrow = store(documents.select("doc_id", F.col("text").isNotNull().alias("has_text"), "raw_checksum", "normalized_checksum"), "checksums").df
+    found = exact_memberships(narrow, "raw_checksum", TIERS[0])
     if mode in ("normalized", "near"):
-        found = found.unionByName(exact_memberships(documents.where(F.col("text").isNotNull()), "normalized_checksum", TIERS[1]))
+        found = found.unionByName(exact_memberships(narrow.where("has_text"), "normalized_checksum", TIERS[1]))
     if mode == "near":
         found = store(found, "exact-members").df
         rest = documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti")

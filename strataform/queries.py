@@ -12,7 +12,7 @@ from strataform.operators import characterize as ch
 from strataform.operators import dedup, extract, inventory, language, normalize, quality
 from strataform.plans import build, feasibility, validate
 from strataform.plans.spec import Specification
-from strataform.runtime import store
+from strataform.runtime import spread, store
 from strataform.sources import catalog, export
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    return spread(_table(spark, d, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def _checked(spark: SparkSession, d: str) -> DataFrame:

@@ -104,6 +104,16 @@ def store(df: DataFrame, name: str) -> Stored:
     return Stored(df, name)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where a table comes in fewer pieces than there are cores.
+
+    A single small file would otherwise keep one core busy; a table of many
+    pieces is left as it is and never shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def hot_rows(counted: DataFrame, count: str, total: int) -> DataFrame:
     """Rows of a table with one row per key whose key holds over ``HOT_SHARE`` of ``total``.
 
