@@ -32,9 +32,11 @@ LANES = 1024
 
 #: A whole sentence ends with a mark, has this many words and this confidence.
 SENTENCE_WORDS, SENTENCE_CONFIDENCE = 4, 0.7
-#: Whole sentences that make a language one of a mixed document, beyond the
-#: share of its sentences that the network may have taken for another's.
-MIXED_SENTENCES, MISTAKEN = 2, 0.1
+#: Whole sentences that make a language one of a mixed document, however long it is.
+MIXED_SENTENCES = 2
+#: A sentence with this share of its words in the sentences of the text's leading
+#: language is of that language; the network has mistaken it.
+FAMILIAR = 0.6
 #: Confidence at which a document's label is contradicted.
 CONTRADICTION = 0.5
 #: Share of a text's letters that one language must have for the text to hold it,
@@ -220,6 +222,16 @@ class Network:
 DETECTED = "doc_id long, label string, language string, confidence double, mixed array<struct<lang:string,sentences:int,confidence:double>>"
 
 
+def _mistaken(text: str, best: np.ndarray, counted: np.ndarray, lead: int) -> list[int]:
+    """The counted sentences of other languages whose words are those of the leading one's sentences.
+
+    Places count the sentences that have words.
+    """
+    pieces = [set(w.split()) for w in (words_of(p) for p, _ in sentences(text)) if w]
+    known = set().union(*(pieces[j] for j in np.flatnonzero(counted & (best == lead))))
+    return [int(j) for j in np.flatnonzero(counted & (best != lead)) if len(pieces[j] & known) >= FAMILIAR * len(pieces[j])]
+
+
 def _detect(texts: list[str]) -> list[tuple[str | None, float, list[dict]]]:
     """Language, confidence and the languages of a mixed text, for each text."""
     index: dict[bytes, int] = {}  # equal windows are labelled once
@@ -256,8 +268,13 @@ def _detect(texts: list[str]) -> list[tuple[str | None, float, list[dict]]]:
     least = LANGUAGE_SHARE + MARK_WEIGHT * (np.clip(marks, FREE_MARKS, MOST_MARKS) - FREE_MARKS)
     holds = (spelled >= LEAST_LETTERS) & (total[:, :NONE].max(1) >= least * spelled)
     leading = total[:, :NONE].argmax(1)
-    enough = np.maximum(MIXED_SENTENCES, MISTAKEN * count.sum(1))
-    several = (count >= enough[:, None]) & holds[:, None]
+    for i in np.flatnonzero(((count >= MIXED_SENTENCES).sum(1) > 1) & holds):
+        mine = slice(*np.searchsorted(document, [i, i + 1]))
+        for at_piece in _mistaken(texts[i], best[mine], counted[mine], count[i].argmax()):
+            k = best[mine][at_piece]
+            count[i, k] -= 1
+            certain[i, k] -= sure[mine][at_piece]
+    several = (count >= MIXED_SENTENCES) & holds[:, None]
     mixed_text = several.sum(1) > 1
     out = []
     for i in range(len(texts)):

@@ -307,3 +307,20 @@ def test_splitting_prefers_natural_boundaries():
     levels = splitting.boundary_levels(text, starts, ends)
     pieces = [text[starts[a] : ends[b - 1]] for a, _, b in splitting.cut(levels, 12, 0)]
     assert pieces[0].endswith("follows now.") and pieces[-1].startswith("# Two")
+
+
+def test_language_of_a_short_passage_in_a_long_text(spark):
+    french = "Le comité a dit que les membres avaient vu le nouveau calendrier, mais personne n'était sûr du prix. Le rapport a été publié après une longue discussion."
+    english = [f"The {who} said that the {what} had been seen by all the members before the meeting." for who in ("chairman", "teacher", "farmer", "reader", "doctor") for what in ("timetable", "letter", "price list", "report", "house", "garden", "map", "book")]
+    half = len(english) // 2
+    apart = french.split(". ")
+    rows = [(0, " ".join([*english, french]), "en"), (1, " ".join([*english[:half], apart[0] + ".", *english[half:], apart[1]]), "en"), (2, " ".join(english), "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r.doc_id, r.lang) for r in language.label_cases(language.detect_language(frame)).collect()} == {(0, "en"), (0, "fr"), (1, "en"), (1, "fr")}
+
+
+def test_language_mistaken_sentences():
+    # Two sentences taken for Dutch have the words of the German ones around them; a Dutch one has its own.
+    text = "Am Ende lieferte der Ausschuss den Bericht. Der Ausschuss archivierte den Bericht am Ende. Am Ende archivierte der Ausschuss den Bericht. Uiteindelijk leverde de commissie het verslag."
+    de, nl = language.LANGUAGES.index("de"), language.LANGUAGES.index("nl")
+    assert language._mistaken(text, np.array([de, de, nl, nl]), np.ones(4, bool), de) == [2]
