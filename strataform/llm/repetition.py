@@ -35,7 +35,9 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     Words are runs of letters without regard to case.  Equal words get equal
     numbers through a 64-bit hash of their letters.
     """
-    joined = code_points("\n".join(texts).lower() if len(texts) == 1 else "\x00".join(t.replace("\x00", " ") for t in texts).lower())
+    whole = texts[0] if len(texts) == 1 else "\x00".join(t.replace("\x00", " ") for t in texts)
+    # The capital I with dot alone has a lower case of two code points, one of them no letter.
+    joined = code_points(whole.replace("\u0130", "i").lower())
     is_letter = letters()[joined]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], is_letter, [False])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]

@@ -124,8 +124,6 @@ def segments(texts: list[str]) -> dict[str, np.ndarray]:
     words, _ = word_numbers([joined.tobytes().decode("utf-32-le", "surrogatepass")])
     edge = np.flatnonzero(np.diff(np.concatenate(([False], t["letter"][joined], [False])).astype(np.int8)))
     word_at, word_end = edge[::2], edge[1::2]
-    if words.size != word_at.size:  # lower case has changed the number of words
-        words = np.zeros(word_at.size, np.int64)
     linking = np.concatenate(([0], np.cumsum(np.isin(words, _linking_hashes()), dtype=np.int64)))
     short = np.concatenate(([0], np.cumsum(word_end - word_at == 1, dtype=np.int64)))
     capital = np.concatenate(([0], np.cumsum(t["upper"][joined[word_at]], dtype=np.int64)))

@@ -324,3 +324,14 @@ def test_language_mistaken_sentences():
     text = "Am Ende lieferte der Ausschuss den Bericht. Der Ausschuss archivierte den Bericht am Ende. Am Ende archivierte der Ausschuss den Bericht. Uiteindelijk leverde de commissie het verslag."
     de, nl = language.LANGUAGES.index("de"), language.LANGUAGES.index("nl")
     assert language._mistaken(text, np.array([de, de, nl, nl]), np.ones(4, bool), de) == [2]
+
+
+def test_words_of_a_capital_i_with_dot():
+    # No lower case adds or takes a word, whatever the letters.
+    every = " ".join(chr(c) for c in range(0x110000) if chr(c).isalpha())
+    assert repetition.word_numbers([every])[0].size == every.count(" ") + 1
+    words, text = repetition.word_numbers(["İstanbul", "istanbul"])
+    assert words.size == 2 and words[0] == words[1] and text.tolist() == [0, 1]
+    plain = "The report was read by all of the members and it was good."
+    alone, beside = textstats.segments([plain]), textstats.segments([plain, "A letter came from İzmir to the office and was read."])
+    assert alone["linking"][0] > 0 and np.array_equal(alone["features"][0], beside["features"][0]) and beside["linking"][1] > 0
