@@ -1,10 +1,8 @@
 """Lines repeated across one site's documents.
 
-Every line is reduced to its letters.  For each line of each domain the number
-of documents having it is compared with its number outside the domain by a
-log-likelihood ratio; the false discovery rate over all lines tested is held by
-the Benjamini-Hochberg rule.  Significant excess lines that are also frequent
-enough are removed from each document, whose other lines keep their positions.
+Every line is reduced to its letters.  Lines that stand in enough of a domain's
+documents are removed from each of them, whose other lines keep their positions.
+What stands in other domains has no say: a line is furniture of its own domain.
 
 Texts are never shuffled: lines travel as hashes, and the lines found come back
 to the documents as one small set for each domain.
@@ -21,10 +19,6 @@ from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_j
 LEAST_DOCUMENTS = 6
 #: ... and in this share of the domain's documents having a text.
 LEAST_SHARE = 0.1
-#: Documents of the lines' mean frequency that every comparison adds outside.
-PRIOR_DOCUMENTS = 100
-#: Expected share of false discoveries among the lines found.
-FALSE_DISCOVERY_RATE = 0.05
 
 
 def line_keys(text: Column) -> Column:
@@ -55,73 +49,27 @@ def with_domain(documents: DataFrame, resources: DataFrame, url: str = "source_u
 
 
 class SiteLines:
-    """The excess lines of ``documents(id, source_url, normalized_text)``.
+    """The recurring lines of ``documents(id, source_url, normalized_text)``.
 
     Each id counts once; of rows that share an id, the first in the order of
     their URL and lines counts.  Documents without id are left as they are, and
     those without a domain form no site.  Null texts have no lines.
     """
 
-    def __init__(self, documents: DataFrame, resources: DataFrame, least_documents: int = LEAST_DOCUMENTS, least_share: float = LEAST_SHARE, rate: float = FALSE_DISCOVERY_RATE):
+    def __init__(self, documents: DataFrame, resources: DataFrame, least_documents: int = LEAST_DOCUMENTS, least_share: float = LEAST_SHARE):
         self.documents, self.resources = documents, resources
         narrow = documents.where("id is not null and normalized_text is not null").select("id", "source_url", line_keys(F.col("normalized_text")).alias("lines"))
         once = narrow.groupBy("id").agg(F.min(F.struct("source_url", "lines")).alias("r")).select("id", "r.*")
         self.lines: Stored = store(with_domain(once, resources).where("domain is not null").select("id", F.xxhash64("domain").alias("site"), "lines"), "site-lines")
         docs = self.lines.df
         sites = docs.groupBy("site").agg(F.count("*").alias("site_docs"))
-        everything = docs.count()
         each = docs.select("site", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
         counted = each.groupBy("site", "line").agg(F.count("*").alias("n"))
-        frequent = (F.col("n") >= least_documents) & (F.col("n") >= F.lit(least_share) * F.col("site_docs"))
-        per_site = store(counted.join(sites, "site").withColumn("frequent", frequent), "line-counts")
-        taken = lambda c: F.coalesce(F.sum(F.when(F.col("frequent"), F.col(c))), F.lit(0))
-        overall = per_site.df.groupBy("line").agg(F.sum("n").alias("all_n"), taken("n").alias("taken_n"), taken("site_docs").alias("taken_docs"))
-        whole = per_site.df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("lines")).first()
-        mean_rate = whole.n / max(1, whole.lines * everything)
-        self.tested = store(self._significance(per_site.df.where("n >= 2").join(overall, "line"), everything, mean_rate), "line-tests")
-        per_site.drop()
-        self.found = store(self._discoveries(self.tested.df, rate).where("frequent"), "site-found")
-
-    @staticmethod
-    def _significance(tested: DataFrame, everything: int, mean_rate: float) -> DataFrame:
-        """Log-likelihood ratio of a line's excess inside its site over its frequency outside.
-
-        Outside are the documents of all other sites, but for those in which the
-        line is as frequent itself: a prompt that many sites share is furniture
-        in each of them.  PRIOR_DOCUMENTS documents with the lines' mean frequency
-        are added, so that a lone site can be compared too.
-        """
-        own = lambda c: F.when(F.col("frequent"), 0).otherwise(F.col(c))
-        a, inside = F.col("n").cast("double"), F.col("site_docs").cast("double")
-        b = F.col("all_n") - F.col("taken_n") - own("n") + PRIOR_DOCUMENTS * mean_rate
-        outside = F.lit(everything) - F.col("taken_docs") - own("site_docs") + float(PRIOR_DOCUMENTS)
-        rate = (a + b) / (inside + outside)
-
-        def term(k: Column, m: Column, p: Column) -> Column:
-            return F.when(k > 0, k * F.log(k / (m * p))).otherwise(0.0) + F.when(m - k > 0, (m - k) * F.log((m - k) / (m * (1 - p)))).otherwise(0.0)
-
-        ratio = 2 * (term(a, inside, rate) + term(b, outside, rate))
-        return tested.select("site", "line", "n", "site_docs", "frequent", F.when(a / inside > b / outside, ratio).otherwise(0.0).alias("ratio"))
-
-    @staticmethod
-    def _discoveries(tested: DataFrame, rate: float) -> DataFrame:
-        """Rows significant by the Benjamini-Hochberg rule.
-
-        The p-value of a ratio x is the chi-square tail with one degree of
-        freedom.  Ratios are counted in bins of equal width on a log scale, so
-        the step-up rule needs a few thousand counts and no global sort.
-        """
-        step = F.floor(F.least(F.lit(4000.0), F.col("ratio") * 10)).cast("int")
-        bins = sorted(((r.step, r.m) for r in tested.groupBy(step.alias("step")).agg(F.count("*").alias("m")).collect()), reverse=True)
-        total, above, threshold = sum(m for _, m in bins), 0, None
-        for at, m in bins:
-            above += m
-            if _chi_square_tail(at / 10) <= rate * above / total:
-                threshold = at
-        return tested.where(F.lit(False)) if threshold is None else tested.where(step >= threshold)
+        frequent = (F.col("n") >= least_documents) & (F.col("n") / F.col("site_docs") >= least_share)
+        self.found = store(counted.join(sites, "site").where(frequent), "site-found")
 
     def _flagged(self) -> DataFrame:
-        """``(site, flagged)``: the keys of a site's excess lines.
+        """``(site, flagged)``: the keys of a site's recurring lines.
 
         Each stands in a tenth of the site's documents, so they are at most ten
         times the distinct lines of its average document.
@@ -138,14 +86,14 @@ class SiteLines:
         return lookup_join(rows, "site", flagged, "site", hot, how)
 
     def occurrences(self) -> DataFrame:
-        """``(id, line_no, site)`` of every excess line, lines counted from 1."""
+        """``(id, line_no, site)`` of every recurring line, lines counted from 1."""
         placed = self._by_site(self.lines.df, "inner").select("id", "site", "flagged", F.posexplode("lines").alias("at", "line"))
         return placed.where(F.array_contains("flagged", F.col("line"))).select("id", (F.col("at") + 1).cast("long").alias("line_no"), "site")
 
     def cleaned(self) -> DataFrame:
         """``(id, domain, normalized_text, removed_lines)`` for every row of the documents.
 
-        Repeated rows stay repeated.  A text loses its site's excess lines; the
+        Repeated rows stay repeated.  A text loses its site's recurring lines; the
         others keep their order.
         """
         rows = with_domain(self.documents.select("id", "source_url", "normalized_text"), self.resources).withColumn("site", F.xxhash64("domain"))
@@ -162,12 +110,6 @@ class SiteLines:
         )
 
 
-def _chi_square_tail(x: float) -> float:
-    from math import erfc, sqrt
-
-    return erfc(sqrt(max(0.0, x) / 2))
-
-
 def domain_lines(found: DataFrame) -> DataFrame:
     """How many lines and occurrences each site loses."""
     return found.groupBy("site").agg(F.count("*").alias("occurrences"), F.countDistinct("id").alias("documents"))

@@ -335,3 +335,12 @@ def test_words_of_a_capital_i_with_dot():
     plain = "The report was read by all of the members and it was good."
     alone, beside = textstats.segments([plain]), textstats.segments([plain, "A letter came from İzmir to the office and was read."])
     assert alone["linking"][0] > 0 and np.array_equal(alone["features"][0], beside["features"][0]) and beside["linking"][1] > 0
+
+
+def test_site_lines_beside_a_large_site(spark):
+    # The line stands in a tenth of the small site and in just under a tenth of the large one.
+    rows = [(f"s{i}", "https://small.example/", "Read this too" if i < 7 else f"Own {chr(97 + i % 26) * (1 + i // 26)}") for i in range(70)]
+    rows += [(f"l{i}", "https://large.example/", "Read this too" if i < 99 else f"Text {chr(97 + i % 26) * (1 + i // 26)}") for i in range(1000)]
+    documents = spark.createDataFrame(rows, "id string, source_url string, normalized_text string")
+    known = spark.createDataFrame([], "url string, domain string, last_seen_at timestamp")
+    assert {r.id for r in sitelines.SiteLines(documents, known).occurrences().collect()} == {f"s{i}" for i in range(7)}
