@@ -115,10 +115,9 @@ def _describe(data: bytes | None, content_type: str | None) -> tuple[list[int],
     if "<" not in text:
         return [], [], []
     page = parse(text)
-    title = re.search(r"<title[^>]*>(.*?)</title", text[:20_000], re.I | re.S)
     headline = next((b.text for b in page.blocks if b.heading == "h1"), "")
     # The part of the title that is not the headline names the site.
-    sites = [s for s in re.split(r"\s+[|–—-]\s+", " ".join(title[1].split()) if title else "") if s and s != headline][-1:]
+    sites = [s for s in re.split(r"\s+[|–—-]\s+", " ".join(page.title.split())) if s and s != headline][-1:]
     outside, prompts = [], []
     for block, inside in zip(page.blocks, main_blocks(page), strict=True):
         out = not inside or _pointer(block) or block.element.tag == "p" and not block.heading and _is_prompt(block.text)

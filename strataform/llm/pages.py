@@ -66,6 +66,7 @@ class Block:
 class Page:
     blocks: list[Block] = field(default_factory=list)
     elements: list[Element] = field(default_factory=list)
+    title: str = ""
 
     def chain(self, block: Block) -> list[Element]:
         """The elements around a block, outermost first."""
@@ -85,7 +86,10 @@ def decode(data: bytes, content_type: str | None) -> str:
         return data.decode("utf-8")
     except UnicodeDecodeError:
         pass
-    declared = re.search(rb"charset\s*=\s*[\"']?\s*([\w.:-]+)", (content_type or "").encode("utf-8", "replace") + b"\n" + data[:4096], re.I)
+    charset = rb"charset\s*=\s*[\"']?\s*([\w.:-]+)"
+    declared = re.search(charset, (content_type or "").encode("utf-8", "replace") + b"\n" + data[:4096], re.I)
+    # Long scripts or styles may stand before the declaration.
+    declared = declared or re.search(rb"<meta\b[^>]*?" + charset, data, re.I)
     name = declared[1].decode("ascii", "replace").lower() if declared else "cp1252"
     if name in ("utf-8", "utf8", "iso-8859-1", "latin-1", "latin1", "ascii", "us-ascii"):
         name = "cp1252"
@@ -216,6 +220,8 @@ def parse(text: str) -> Page:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, at)
             if close is None:
                 break
+            if tag == "title" and not builder.page.title:
+                builder.page.title = text[at : close.start()]
             at = close.end()
             builder.end(tag)
     builder.flush()

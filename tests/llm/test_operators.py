@@ -344,3 +344,13 @@ def test_site_lines_beside_a_large_site(spark):
     documents = spark.createDataFrame(rows, "id string, source_url string, normalized_text string")
     known = spark.createDataFrame([], "url string, domain string, last_seen_at timestamp")
     assert {r.id for r in sitelines.SiteLines(documents, known).occurrences().collect()} == {f"s{i}" for i in range(7)}
+
+
+def test_page_with_a_long_head():
+    filler = "<style>" + ".a{margin:1px}\n" * 2000 + "</style>"
+    page = f'<html><head>{filler}<meta charset="iso-8859-2"><title>Head line | Site Name</title></head><body><h1>Head line</h1><p>Zażółć, says Site Name.</p></body></html>'
+    assert pages.parse(page).title == "Head line | Site Name"
+    assert pages.parse(pages.decode(page.encode("iso-8859-2"), None)).blocks[1].text == "Zażółć, says Site Name."
+    other = page.replace("Site Name", "Another Place")
+    prompts = [mainbody._describe(p.encode("iso-8859-2"), None)[2][1] for p in (page, other)]
+    assert prompts[0] == prompts[1] != 0
