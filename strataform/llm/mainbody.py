@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataform.llm.pages import HEADINGS, INLINE, Block, Element, Page, decode, parse
+from strataform.llm.sitelines import clean_domain, url_host
 from strataform.runtime import store
 
 #: A prompt recurs on this share of all pages, but on no fewer pages than this.
 PROMPT_SHARE, PROMPT_PAGES = 0.0005, 5
+#: Or on this share of its own site's pages, and on no fewer of them than PROMPT_PAGES.
+SITE_SHARE = 0.1
 
 #: Longer paragraphs are never prompts, however often a text is syndicated.
 PROMPT_CHARS = 160
@@ -105,8 +108,8 @@ def _pointer(block: Block) -> bool:
     return not block.heading and block.linked * 5 >= len(block.text) * 4
 
 
-_PAGES = "artifact_id string, blocks array<long>, outside array<boolean>, prompts array<long>"
-_ALIGNED = "artifact_id string, line_no long, outside boolean, prompt long"
+_PAGES = "artifact_id string, site long, blocks array<long>, outside array<boolean>, prompts array<long>"
+_ALIGNED = "artifact_id string, site long, line_no long, outside boolean, prompt long"
 
 
 def _describe(data: bytes | None, content_type: str | None) -> tuple[list[int], list[bool], list[int]]:
@@ -139,16 +142,20 @@ def _hash(text: str) -> int:
 
 
 def describe_pages(artifacts: DataFrame) -> DataFrame:
-    """One narrow row per artifact; artifacts that hold no markup have no blocks."""
+    """One narrow row per artifact; artifacts that hold no markup have no blocks.
+
+    ``site`` is the hash of the host of the artifact's ``url``, null where there is none.
+    """
+    host = clean_domain(url_host(F.col("url"))) if "url" in artifacts.columns else F.lit(None).cast("string")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
         for batch in batches:
             rows = [_describe(data, kind) for data, kind in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            columns = [batch.column(0), *([r[i] for r in rows] for i in range(3))]
+            columns = [batch.column(0), batch.column(3), *([r[i] for r in rows] for i in range(3))]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PAGES.split(", ")])
 
-    return artifacts.where("artifact_id is not null").select("artifact_id", "raw_data", "content_type").mapInArrow(describe, _PAGES)
+    return artifacts.where("artifact_id is not null").select("artifact_id", "raw_data", "content_type", F.when(host.isNotNull(), F.xxhash64(host)).alias("site")).mapInArrow(describe, _PAGES)
 
 
 def align(lines: list[int], blocks: list[int]) -> list[int]:
@@ -170,10 +177,11 @@ def align(lines: list[int], blocks: list[int]) -> list[int]:
 def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids: list[str] = []
+        sites: list[int | None] = []
         numbers: list[int] = []
         outside: list[bool] = []
         prompts: list[int] = []
-        for key, lines, blocks, out, prompt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for key, site, lines, blocks, out, prompt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if not blocks:
                 continue
             place = align(lines, blocks)
@@ -184,17 +192,19 @@ def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if near < 0:
                         continue
                     ids.append(key)
+                    sites.append(site)
                     numbers.append(k + 1)
                     outside.append(out[near])
                     prompts.append(0)
                 else:
                     ids.append(key)
+                    sites.append(site)
                     numbers.append(k + 1)
                     outside.append(out[b])
                     prompts.append(prompt[b])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(numbers, pa.int64()), pa.array(outside, pa.bool_()), pa.array(prompts, pa.int64())],
-            names=["artifact_id", "line_no", "outside", "prompt"],
+            [pa.array(ids, pa.string()), pa.array(sites, pa.int64()), pa.array(numbers, pa.int64()), pa.array(outside, pa.bool_()), pa.array(prompts, pa.int64())],
+            names=["artifact_id", "site", "line_no", "outside", "prompt"],
         )
 
 
@@ -208,8 +218,8 @@ def page_lines(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
     lines = F.transform(F.split("canonical_text", "\n"), lambda x: F.xxhash64(F.trim(x)))
     latest = extractions.where("artifact_id is not null and canonical_text is not null").select("artifact_id", "created_at", lines.alias("lines"))
     latest = latest.groupBy("artifact_id").agg(F.max(F.struct("created_at", "lines")).alias("r")).select("artifact_id", "r.lines")
-    pages = describe_pages(artifacts).groupBy("artifact_id").agg(F.min(F.struct("blocks", "outside", "prompts")).alias("p")).select("artifact_id", "p.*")
-    aligned = latest.join(pages, "artifact_id").select("artifact_id", "lines", "blocks", "outside", "prompts").mapInArrow(_align_rows, _ALIGNED)
+    pages = describe_pages(artifacts).groupBy("artifact_id").agg(F.min(F.struct("blocks", "outside", "prompts", "site")).alias("p")).select("artifact_id", "p.*")
+    aligned = latest.join(pages, "artifact_id").select("artifact_id", "site", "lines", "blocks", "outside", "prompts").mapInArrow(_align_rows, _ALIGNED)
     stored = store(aligned, "page-lines").df
     n = stored.select("artifact_id").distinct().count()
     often = max(PROMPT_PAGES, PROMPT_SHARE * n)
@@ -217,7 +227,14 @@ def page_lines(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
     # prompts of an average page divided by PROMPT_SHARE.
     seen = stored.where("prompt <> 0").select("artifact_id", "prompt").distinct().groupBy("prompt").agg(F.count("*").alias("n"))
     recurring = seen.where(F.col("n") >= often).select("prompt", F.lit(True).alias("recurs"))
-    return stored.join(F.broadcast(recurring), "prompt", "left").select("artifact_id", "line_no", (F.col("outside") | F.coalesce("recurs", F.lit(False))).alias("outside"))
+    # A site's own prompts are judged by its own pages, whatever the corpus holds.
+    site_pages = stored.where("site is not null").groupBy("site").agg(F.countDistinct("artifact_id").alias("site_pages"))
+    local = stored.where("prompt <> 0 and site is not null").groupBy("site", "prompt").agg(F.countDistinct("artifact_id").alias("n")).where(F.col("n") >= PROMPT_PAGES)
+    local = local.join(site_pages, "site").where(F.col("n") / F.col("site_pages") >= SITE_SHARE).select("site", "prompt", F.lit(True).alias("recurs_here"))
+    possible = stored.where("prompt <> 0").join(F.broadcast(recurring), "prompt", "left").join(local, ["site", "prompt"], "left")
+    recurs = F.coalesce("recurs", "recurs_here", F.lit(False))
+    judged = possible.select("artifact_id", "line_no", (F.col("outside") | recurs).alias("outside"))
+    return stored.where("prompt = 0").select("artifact_id", "line_no", "outside").unionByName(judged)
 
 
 def main_bodies(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:

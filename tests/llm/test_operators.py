@@ -354,3 +354,15 @@ def test_page_with_a_long_head():
     other = page.replace("Site Name", "Another Place")
     prompts = [mainbody._describe(p.encode("iso-8859-2"), None)[2][1] for p in (page, other)]
     assert prompts[0] == prompts[1] != 0
+
+
+def test_prompts_of_one_site(spark, monkeypatch):
+    # As in a corpus so large that no site's own prompt recurs on a share of it.
+    monkeypatch.setattr(mainbody, "PROMPT_SHARE", 1.0)
+    own = "Our evening edition comes to your door for a small sum"
+    lines = {f"{site}{i}": ["Head line", f"Paragraph {chr(97 + i) * 3} of a story that goes on for a number of words.", own if site == "a" and i < 5 else f"The end of {chr(97 + i) * 3}"] for site in "ab" for i in range(20)}
+    page = lambda x: f"<html><body><div><h1>{x[0]}</h1><p>{x[1]}</p><p>{x[2]}</p></div></body></html>"
+    artifacts = spark.createDataFrame([(k, f"https://www.{k[0]}.example/{k}", bytearray(page(x).encode()), None) for k, x in lines.items()], "artifact_id string, url string, raw_data binary, content_type string")
+    extractions = spark.createDataFrame([(k, "\n".join(x), None) for k, x in lines.items()], "artifact_id string, canonical_text string, created_at timestamp")
+    found = mainbody.page_lines(artifacts, extractions)
+    assert found.count() == 120 and {(r.artifact_id, r.line_no) for r in found.where("outside").collect()} == {(f"a{i}", 3) for i in range(5)}
