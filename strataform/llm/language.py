@@ -64,8 +64,10 @@ def label_code(label: str | None) -> str | None:
 
 
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
-#: Blanks after an end mark, or after closing marks that follow one; no small letter may follow.
-_STOP = re.compile(r"(?:(?<=[.!?…])|(?<=[.!?…][\"”»’)\]])) (?![a-zà-ÿ])")
+#: Blanks after an end mark, or after a closing mark that follows one, with no small letter behind; or after two exclamation marks.
+_STOP = re.compile(r"[ \n](?:(?<=\n)|(?:(?<=[.!?…] )|(?<=[.!?…][\"”»’)\]] ))(?![a-zà-ÿ])|(?<=!! ))")
+#: The same after several closing marks, whose blank becomes a line's end.
+_CLOSED = re.compile(r"([\"”»’)\]](?<=[.!?…].)[\"”»’)\]]+) (?![a-zà-ÿ])")
 _ENDS = frozenset(".!?…")
 _CLOSERS = "\"”»“’)] "
 
@@ -80,7 +82,7 @@ def sentences(text: str) -> list[tuple[str, bool]]:
     for paragraph in _PARAGRAPH.split(text.replace("\r", "")):
         flat = " ".join(paragraph.split())
         if flat:
-            out += [(p, p.count(" ") >= SENTENCE_WORDS - 1 and p.rstrip(_CLOSERS)[-1:] in _ENDS) for p in _STOP.split(flat) if p]
+            out += [(p, p.count(" ") >= SENTENCE_WORDS - 1 and p.rstrip(_CLOSERS)[-1:] in _ENDS) for p in _STOP.split(_CLOSED.sub(r"\1\n", flat)) if p]
     return out
 
 

@@ -366,3 +366,9 @@ def test_prompts_of_one_site(spark, monkeypatch):
     extractions = spark.createDataFrame([(k, "\n".join(x), None) for k, x in lines.items()], "artifact_id string, canonical_text string, created_at timestamp")
     found = mainbody.page_lines(artifacts, extractions)
     assert found.count() == 120 and {(r.artifact_id, r.line_no) for r in found.where("outside").collect()} == {(f"a{i}", 3) for i in range(5)}
+
+
+def test_sentences_behind_closing_marks():
+    text = "“He said: «The price is known to all.»” Another one follows right here.”’)] And this is the third one!! and here stands the last one."
+    assert [p[:8] for p, whole in language.sentences(text) if whole] == ["“He said", "Another ", "And this", "and here"]
+    assert len(language.sentences("He read (“see it now.”) and went on. Then he left.")) == 2
