@@ -34,6 +34,12 @@ def p2_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return _site_lines(spark, d).cleaned()
 
 
+def p2_lines(spark: SparkSession, d: str) -> DataFrame:
+    """What the test says of every line it compares."""
+    rounded = F.floor(F.col("ratio") * 1000 + 0.5) / 1000
+    return _site_lines(spark, d).report().select("n", "site_docs", "outside_n", "outside_docs", rounded.alias("ratio"), "frequent", "significant")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return mainbody.page_lines(_table(spark, d, "artifacts"), _table(spark, d, "extraction_results")).where("outside").select("artifact_id", "line_no")
 
@@ -123,7 +129,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_signals, p2_found, p2_cleaned, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
+        p1_found, p1_signals, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
         p9_found, p9_drawn, p9_shares, p10_found, p10_pieces,
     ]
     return {f.__name__: f for f in own}

@@ -1,5 +1,6 @@
 """Operators for training text against brute force, on small and awkward inputs."""
 
+import math
 import random
 from collections import Counter
 
@@ -59,6 +60,39 @@ def test_repetition_signals(spark):
     assert repetition.repetition_signals(frame.limit(0)).count() == 0
 
 
+def _named(found, texts):
+    """The report with the names of sites and lines."""
+    spark = found.documents.sparkSession
+    rows = {(s, "".join(c for c in x.lower() if c.isalpha())) for s, lines in texts.values() for x in lines}
+    names = spark.createDataFrame(sorted(rows), "site string, line string")
+    hashed = names.select("site", "line", F.xxhash64("site").alias("s"), F.xxhash64("line").alias("l"))
+    return found.report().select(F.col("site").alias("s"), F.col("line").alias("l"), "significant", "frequent").join(hashed, ["s", "l"])
+
+
+def brute_excess(per, sites, rate=0.05):
+    """``(site, line)`` of lines in six documents or more that the ratio test finds, in rounds."""
+    everything, found = sum(sites.values()), set()
+    tested = [k for k, n in per.items() if n >= 6]
+    while True:
+        tails = {}
+        for s, line in tested:
+            others = [x for x in sites if x != s and (x, line) not in found]
+            k1, n1, k2, n2 = per[s, line], sites[s], sum(per[x, line] for x in others), sum(sites[x] for x in others)
+            assert n2 > 0
+            p = (k1 + k2) / (n1 + n2)
+            g = 0.0
+            if k1 / n1 > k2 / n2:
+                for k, n in ((k1, n1), (k2, n2)):
+                    g += (2 * k * math.log(k / (n * p)) if k else 0) + (2 * (n - k) * math.log((n - k) / (n * (1 - p))) if n > k else 0)
+            tails[s, line] = math.erfc(math.sqrt(g / 2)) if (s, line) not in found else 0.0
+        ordered = sorted(tails.values())
+        cut = max((t for i, t in enumerate(ordered, 1) if t <= rate * i / len(ordered)), default=-1)
+        now = {k for k, t in tails.items() if t <= cut}
+        if now == found:
+            return found
+        found = now
+
+
 def test_site_lines_equal_brute_force(spark):
     rng = random.Random(2)
     docs, resources = [], []
@@ -80,7 +114,8 @@ def test_site_lines_equal_brute_force(spark):
     per, sites = Counter(), Counter(s for s, _ in texts.values())
     for s, lines in texts.values():
         per.update({(s, key(x)) for x in lines if key(x)})
-    bad = {k for k, n in per.items() if n >= 6 and n >= 0.1 * sites[k[0]]}
+    bad = {k for k in brute_excess(per, sites) if per[k] >= 0.1 * sites[k[0]]}
+    assert bad == {(r.site, r.line) for r in _named(found, texts).where("significant and frequent").collect()}
     want = {(i, n) for i, (s, lines) in texts.items() for n, x in enumerate(lines, 1) if (s, key(x)) in bad}
     assert want and {(r.id, r.line_no) for r in found.occurrences().collect()} == want
     cleaned = {r.id: r for r in found.cleaned().collect()}
@@ -338,12 +373,28 @@ def test_words_of_a_capital_i_with_dot():
 
 
 def test_site_lines_beside_a_large_site(spark):
-    # The line stands in a tenth of the small site and in just under a tenth of the large one.
-    rows = [(f"s{i}", "https://small.example/", "Read this too" if i < 7 else f"Own {chr(97 + i % 26) * (1 + i // 26)}") for i in range(70)]
-    rows += [(f"l{i}", "https://large.example/", "Read this too" if i < 99 else f"Text {chr(97 + i % 26) * (1 + i // 26)}") for i in range(1000)]
+    # One line stands in a tenth of the small site and in just under a tenth of the
+    # large one: no excess, whatever its frequency.  The other is the small site's own.
+    own = lambda i, least, other: "Read this too" if i < least else other
+    rows = [(f"s{i}", "https://small.example/", own(i, 7, "Ours" if i < 14 else f"Own {chr(97 + i % 26) * (1 + i // 26)}")) for i in range(70)]
+    rows += [(f"l{i}", "https://large.example/", own(i, 99, f"Text {chr(97 + i % 26) * (1 + i // 26)}")) for i in range(1000)]
     documents = spark.createDataFrame(rows, "id string, source_url string, normalized_text string")
     known = spark.createDataFrame([], "url string, domain string, last_seen_at timestamp")
-    assert {r.id for r in sitelines.SiteLines(documents, known).occurrences().collect()} == {f"s{i}" for i in range(7)}
+    found = sitelines.SiteLines(documents, known)
+    assert {r.id for r in found.occurrences().collect()} == {f"s{i}" for i in range(7, 14)}
+    rejected = [r for r in found.report().collect() if r.frequent and not r.significant]
+    assert [(r.n, r.site_docs, r.outside_n, r.outside_docs) for r in rejected] == [(7, 70, 99, 1000)] and rejected[0].ratio < 0.1
+    lone = sitelines.SiteLines(documents.where("id like 's%'"), known)
+    assert {r.id for r in lone.occurrences().collect()} == {f"s{i}" for i in range(14)}
+
+
+def test_site_lines_that_mask_each_other(spark):
+    # Three sites out of five share a prompt; the smallest shows an excess once the others have left its outside.
+    share = {"a": (400, 390), "b": (400, 390), "c": (30, 11), "d": (300, 0), "e": (300, 0)}
+    rows = [(f"{s}{i}", f"https://{s}.example/", "Share this" if i < k else f"{s} {chr(97 + i % 26) * (1 + i // 26)}") for s, (n, k) in share.items() for i in range(n)]
+    documents = spark.createDataFrame(rows, "id string, source_url string, normalized_text string")
+    found = sitelines.SiteLines(documents, spark.createDataFrame([], "url string, domain string, last_seen_at timestamp"))
+    assert Counter(r.id[0] for r in found.occurrences().collect()) == {"a": 390, "b": 390, "c": 11}
 
 
 def test_page_with_a_long_head():
