@@ -287,33 +287,70 @@ def test_packing(spark):
     assert [shelf.place(n) for n in (6, 5, 4, 7, 3, 5)] == [0, 1, 0, 2, 2, 1]
 
 
-def test_mixing(spark):
+@pytest.mark.parametrize(("shard_tokens", "block_tokens"), [(500, 60), (3, 1), (10**6, 10**5)])
+def test_mixing(spark, shard_tokens, block_tokens):
     rng = random.Random(6)
-    documents = [(i, rng.choice(["A", " a ", "b", "c", None]), " ".join(["w"] * rng.randint(1, 40))) for i in range(600)] + [(7, "b", None), (8, "b", "")]
-    targets = [("m", "a", 3.0, 1, 0.3), ("m", "B", 1.0, 9, 0.3), ("m", "ghost", 1.0, 2, 0.3), ("m", None, 1.0, 1, 0.3), ("big", "c", 1.0, 2, 0.9), ("zero", "a", 0.0, 1, 0.5)]
-    mixture = mixing.Mixture(spark.createDataFrame(documents, "doc_id long, source string, text string"), spark.createDataFrame(targets, "mix_name string, source string, target_share double, max_repeats int, budget_fraction double"), shard_tokens=500)
+    documents = [(i, rng.choice(["A", " a ", "b", "c", None]), " ".join(["w"] * rng.randint(1, 40))) for i in range(600)] + [(7, "b", None), (8, "b", ""), (None, "b", "no id"), (None, "b", "no id")]
+    targets = [("m", "a", 3.0, 1, 0.3), ("m", "B", 1.0, 9, 0.3), ("m", "ghost", 1.0, 2, 0.3), ("m", None, 1.0, 1, 0.3), ("big", "c", 1.0, 2, 0.9), ("zero", "a", 0.0, 1, 0.5), ("never", "b", 1.0, 0, 0.1)]
+    mixture = mixing.Mixture(spark.createDataFrame(documents, "doc_id long, source string, text string"), spark.createDataFrame(targets, "mix_name string, source string, target_share double, max_repeats int, budget_fraction double"), shard_tokens=shard_tokens, block_tokens=block_tokens)
     total = sum(len((t or "").split()) for *_, t in documents)
     tokens = Counter()
     for _, s, t in documents:
         tokens[(s or "").strip().lower()] += len((t or "").split())
     drawn = mixture.drawn().collect()
     shares = {(r.mix_name, r.source): r for r in mixture.shares().collect()}
-    assert set(shares) == {("m", "a"), ("m", "b"), ("m", "ghost"), ("big", "c")}
-    assert {k for k, r in shares.items() if r.short} == {("m", "ghost")} | ({("big", "c")} if tokens["c"] * 2 < 0.9 * total else set()) | ({("m", "a")} if tokens["a"] < 0.6 * 0.3 * total else set())
+    assert set(shares) == {("m", "a"), ("m", "b"), ("m", "ghost"), ("big", "c"), ("never", "b")}
+    assert {k for k, r in shares.items() if r.short} == {("m", "ghost"), ("never", "b")} | ({("big", "c")} if tokens["c"] * 2 < 0.9 * total else set()) | ({("m", "a")} if tokens["a"] < 0.6 * 0.3 * total else set())
     for (mix, source), r in shares.items():
         mine = [x for x in drawn if (x.mix_name, x.source) == (mix, source)]
-        assert max(Counter((x.doc_id, x.repeat_no) for x in mine).values(), default=0) <= 1 and all(x.repeat_no < r.max_repeats for x in mine)
+        assert sum(x.n_tokens for x in mine) == r.drawn_tokens and r.available_tokens == tokens[source]
+        assert max(Counter((x.doc_id, x.repeat_no) for x in mine if x.doc_id is not None).values(), default=0) <= 1 and all(x.repeat_no < r.max_repeats for x in mine)
         if not r.short:
             assert abs(r.drawn_tokens - r.target_tokens) <= 40
     places = Counter((x.mix_name, x.shard) for x in drawn)
     assert all(sorted(x.position for x in drawn if (x.mix_name, x.shard) == k) == list(range(1, n + 1)) for k, n in places.items())
+    # Every shard gets its exact number of block copies, and no copy is drawn twice.
+    copies = mixture.draws().collect()
+    assert len({(c.target, c.block, c.repeat_no) for c in copies}) == len(copies)
+    for mix, shards in mixture.shards.items():
+        mine = [i for i, q in enumerate(mixture.quotas) if q.mix == mix]
+        most = sum(mixture.quotas[i].copies for i in mine) / shards
+        got = Counter(c.shard for c in copies if c.target in mine)
+        assert all(0 <= k < shards and n <= most + 1 for k, n in got.items())
+    empty = mixing.Mixture(spark.createDataFrame([], "doc_id long, source string, text string"), spark.createDataFrame(targets, "mix_name string, source string, target_share double, max_repeats int, budget_fraction double"))
+    assert empty.drawn().count() == 0 and empty.shares().where("short").count() == 0
+
+
+def test_shares_come_from_the_draw(spark):
+    documents = spark.createDataFrame([(i, "a" if i % 3 else "b", "one two three") for i in range(90)], "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("m", "a", 1.0, 1, 0.9), ("m", "b", 1.0, 1, 0.9)], "mix_name string, source string, target_share double, max_repeats int, budget_fraction double")
+    mixture = mixing.Mixture(documents, targets)
+    assert [r.source for r in mixing.short_sources(mixture.shares()).collect()] == ["b"]
+    mixture.draws = lambda: mixing.Mixture.draws(mixture).limit(0)
+    assert mixing.short_sources(mixture.shares()).count() == 0
 
 
 def test_split_tree():
     rng = np.random.default_rng(0)
-    for shards in (1, 2, 3, 7):
-        table = mixing.split_tree([5, 0, 17, 40], shards, rng)
-        assert table.sum(0).tolist() == [5, 0, 17, 40] and np.ptp(table.sum(1)) <= 1
+    for shards, quotas in ((1, [5, 0, 17, 40]), (3, [5, 0, 17, 40]), (7, [5, 0, 17, 40]), (1000, [20000, 1, 0, 3210])):
+        source = np.repeat(np.arange(4), quotas)
+        rank = np.concatenate([np.arange(q) for q in quotas])
+        shard = mixing.shards_of(source, rank, quotas, shards, 5)
+        assert np.ptp(np.bincount(shard, minlength=shards)) <= 1 and shard.max() < shards
+        # Disjoint runs of ranks, and the same answer for a part of the copies.
+        assert all((np.diff(shard[source == s]) >= 0).all() for s in range(4))
+        some = rng.permutation(source.size)[: source.size // 2]
+        assert np.array_equal(mixing.shards_of(source[some], rank[some], quotas, shards, 5), shard[some])
+    # A shard's part of a source follows the hypergeometric law in the mean.
+    halves = [np.count_nonzero(mixing.shards_of(np.repeat([0, 1], [30, 10]), np.r_[0:30, 0:10], [30, 10], 2, key)[30:] == 0) for key in range(300)]
+    assert abs(np.mean(halves) - 5) < 0.4 and np.std(halves) > 0.8
+
+
+def test_keyed_permutation():
+    for size in (1, 2, 3, 5, 64, 65, 1000):
+        out = mixing.permuted(np.arange(size), size, 3)
+        assert sorted(out.tolist()) == list(range(size))
+    assert not np.array_equal(mixing.permuted(np.arange(1000), 1000, 1), mixing.permuted(np.arange(1000), 1000, 2))
 
 
 @pytest.mark.parametrize(("most", "overlap"), [(8, 0), (8, 3), (5, 4), (1, 0), (30, 10)])
