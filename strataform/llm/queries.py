@@ -81,6 +81,11 @@ def p7_records(spark: SparkSession, d: str) -> DataFrame:
     return survivors.surviving_records(_table(spark, d, "dedup_documents"), _table(spark, d, "duplicate_memberships"))
 
 
+def p7_currency(spark: SparkSession, d: str) -> DataFrame:
+    """How often reasoning finds the latest row of documents whose dates are hidden from it."""
+    return survivors.currency_trial(_table(spark, d, "dedup_documents"))
+
+
 def _packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_table(spark, d, "documents"), _table(spark, d, "container_specs"))
 
@@ -129,7 +134,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_signals, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p8_found, p8_assignment, p8_fill,
+        p1_found, p1_signals, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p7_currency, p8_found, p8_assignment, p8_fill,
         p9_found, p9_drawn, p9_shares, p10_found, p10_pieces,
     ]
     return {f.__name__: f for f in own}
