@@ -12,7 +12,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when its measured size stays under this bound.
@@ -59,14 +59,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class Stored:
-    """A written intermediate table; ``drop`` removes its files."""
+    """A written intermediate table; ``drop`` removes its files.
+
+    ``rows`` is how many were written, if they were counted on the way.
+    """
 
     _open: list[Stored] = []
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, counted: bool = False):
         self.spark = df.sparkSession
         self.path = f"{checkpoint_root(self.spark)}/strataform/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        seen = Observation() if counted else None
+        (df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df).write.parquet(self.path)
+        self.rows: int = seen.get["rows"] if seen else -1
         self.schema = df.schema
         Stored._open.append(self)
 
@@ -99,9 +104,9 @@ def _drop_open() -> None:
             break
 
 
-def store(df: DataFrame, name: str) -> Stored:
+def store(df: DataFrame, name: str, counted: bool = False) -> Stored:
     """Write ``df`` to the shared folder and cut its lineage there."""
-    return Stored(df, name)
+    return Stored(df, name, counted)
 
 
 def spread(rows: DataFrame) -> DataFrame:
