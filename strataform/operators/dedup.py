@@ -1,34 +1,49 @@
 """Duplicate detection: exact by checksum, near by overlap of character trigrams.
 
-Near duplicates are found exactly, by the pigeonhole principle.  Two sets whose
-similarity is t or more differ in at most k elements, k following from their
-sizes.  All trigrams are spread over k + m + 1 parts by a hash, so at least m + 1
-parts hold the same trigrams in both; documents are joined on the hashes of their
-parts, pairs with enough equal parts are verified on whole sets.  Sizes fall into
-classes so wide that similar sets lie in the same class or in neighbouring ones.
-Equal texts are one class each and are compared once.
-
-The min-hash sketch with its bands is there beside it for estimates and for
-those who prefer its cost to its recall.
+Near duplicates are found by min-hash signatures cut into bands.  Bands have the
+more rows the more sets there are (so that a chance pair shares one with a
+probability that falls as the collection grows, and buckets stay small), and are
+so many that a pair at the threshold itself is missed by all of them with a
+probability of ``MISS``; the more similar a pair, the less.  Pairs that share a
+bucket are weighed by a short sketch, and what may reach the threshold is
+verified on whole sets.  ``exact=True`` takes the pigeonhole principle instead
+(below), which misses nothing and whose cost grows faster than the collection.
+
+Groups need no pair inside a bucket whose members are linked already: each
+member is verified against its bucket's least one first, and pairs are looked at
+only across the groups so found.  Equal sets are one class and compared once.
+
+The pigeonhole join: two sets whose similarity is t or more differ in at most k
+elements, k following from their sizes.  All trigrams are spread over k + m + 1
+parts by a hash, so at least m + 1 parts hold the same trigrams in both;
+documents are joined on the hashes of their parts.  Sizes fall into classes so
+wide that similar sets lie in the same class or in neighbouring ones.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataform.functions.text import character_ngrams, two_places
 from strataform.operators.components import connected_components
-from strataform.runtime import hot_rows, lookup_join, store
+from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, store
 
 THRESHOLD = 0.85
 SHINGLE = 3
 SKETCH, BANDS = 128, 16
+#: The chance that a pair at the threshold shares no band.
+MISS = 1e-4
+#: Similarity of texts that have nothing but a language in common.
+BACKGROUND = 0.35
+#: Bands at most; they then have fewer rows, and buckets more pairs to weigh.
+MOST_BANDS = 160
 TIERS = ("raw_exact", "normalized_exact", "near_duplicate")
 
 
@@ -95,14 +110,9 @@ def part_signatures(grams: list[str], tops: list[int], threshold: float) -> list
     return out
 
 
-def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b, similarity)`` for every pair of texts with that Jaccard similarity or more, ``a < b``.
-
-    Each distinct trigram set is represented by its smallest key; copies are not
-    expanded into pairs.  Texts under three characters have no trigrams and
-    match nothing.  The threshold lies above 0; at 1 nothing is left to pair.
-    """
-    sets = shingled(documents, text, key)
+def _pigeonhole_pairs(documents: DataFrame, text: str, key: str, threshold: float) -> DataFrame:
+    """The pairs of ``similar_pairs``, all of them."""
+    sets = shingled(documents.where(F.col(key).isNotNull()), text, key)
     classes = store(sets.groupBy("class").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("grams").alias("grams")).drop("class"), "trigram-sets").df
     largest = classes.agg(F.max("n")).first()[0] or 1
     tops = size_classes(threshold, largest)
@@ -123,27 +133,226 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
     near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-9))
     agreeing = side("a").join(side("b"), ["grp", "part"]).where(near).groupBy("a", "b", "grp").agg(F.count("*").alias("equal"), F.first("needed").alias("needed"), F.first(F.least("ea", "eb")).alias("bare"))
     candidates = agreeing.where(F.col("equal") >= F.greatest(F.lit(1), F.col("needed") - F.col("bare"))).select("a", "b").distinct()
-    sides = classes.select("id", "grams", "n")
-    joined = candidates.join(sides.select(F.col("id").alias("a"), F.col("grams").alias("ga"), F.col("n").alias("na")), "a").join(sides.select(F.col("id").alias("b"), F.col("grams").alias("gb"), F.col("n").alias("nb")), "b")
+    sets = classes.select("id", _hashes(F.col("grams")).alias("hashes"))
+    return verify(candidates, sets, threshold)
+
+
+def band_plan(threshold: float, sets: int) -> tuple[int, int]:
+    """Rows and number of bands for a collection of so many sets."""
+    needed = lambda rows: max(1, math.ceil(math.log(MISS) / math.log1p(-(min(threshold, 0.999) ** rows))))
+    rows = max(2, math.ceil(math.log(max(2, sets)) / -math.log(BACKGROUND)))
+    while rows > 1 and needed(rows) > MOST_BANDS:
+        rows -= 1
+    return rows, needed(rows)
+
+
+def _hashes(grams: Column) -> Column:
+    return F.array_sort(F.transform(grams, lambda g: F.xxhash64(g)))
+
+
+class TrigramSets:
+    """The trigram sets of ``documents(key, text)`` as narrow rows: class, size, buckets and sketch.
+
+    Rows without a key are left out; texts under three characters have no set.
+    The texts themselves are neither kept nor shuffled.
+    """
+
+    def __init__(self, documents: DataFrame, text: str, key: str, threshold: float):
+        self.threshold, self.kind = threshold, documents.schema[key].dataType.simpleString()
+        self.texts = documents.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
+        # The rows of a band follow from how many texts there are.
+        self.rows, self.bands = band_plan(threshold, self.texts.count())
+        hashed = self._hashed(self.texts)
+        # Two hashes of the whole set, of different seeds, stand for it.
+        keyed = hashed.select("id", F.size("hashes").alias("n"), F.concat_ws("-", F.xxhash64(F.lit(0), "hashes"), F.xxhash64(F.lit(1), "hashes")).alias("class"), "hashes")
+        signed = keyed.mapInArrow(_signer(self.rows, self.bands), f"id {self.kind}, n int, class string, buckets array<long>, sketch binary")
+        self.signed = store(signed, "signed-sets", counted=True)
+        self.classes = store(self.signed.df.groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("size")).where("size > 1"), "set-classes")
+        self.hot = hot_rows(self.classes.df, "size", self.signed.rows).select("class", "class_id")
+
+    @staticmethod
+    def _hashed(texts: DataFrame) -> DataFrame:
+        return texts.select("id", _hashes(character_ngrams(F.col("text"), SHINGLE)).alias("hashes")).where(F.size("hashes") > 0)
+
+    def _joined(self, columns: list[str]) -> DataFrame:
+        """The signed rows with their class's id, null where the set stands alone."""
+        return lookup_join(self.signed.df.select("class", "id", *columns), "class", self.classes.df.select("class", "class_id"), "class", self.hot, "left")
+
+    def members(self) -> DataFrame:
+        """``(id, class_id)`` of every document; the class id is the least id with the same set."""
+        return self._joined([]).select("id", F.coalesce("class_id", "id").alias("class_id"))
+
+    def representatives(self) -> DataFrame:
+        """``(id, n, buckets, sketch)``: one row for each distinct set."""
+        kept = self._joined(["n", "buckets", "sketch"]).where("class_id is null or class_id = id")
+        # A repeated row of a representative is the same set again.
+        return kept.dropDuplicates(["class", "id"]).select("id", "n", "buckets", "sketch")
+
+    def verified(self, candidates: DataFrame, sketches: DataFrame) -> DataFrame:
+        """``(a, b, similarity)`` of the candidates ``(a, b)`` that reach the threshold."""
+        side = lambda name: sketches.select(F.col("id").alias(name), F.col("sketch").alias(f"s{name}"))
+        weighed = candidates.join(side("a"), "a").join(side("b"), "b").mapInArrow(_weigher(self.threshold, self.rows * self.bands), f"a {self.kind}, b {self.kind}")
+        near = store(weighed, "near-candidates", counted=True)
+        ids = store(near.df.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+        small = ids.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES
+        # The smallest of equal keys' texts is the one that stands for the class.
+        sets = self._hashed(self.texts.join(F.broadcast(ids.df) if small else ids.df, "id", "left_semi"))
+        return verify(near.df, sets, self.threshold)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, similarity)`` of pairs of ``sets(id, hashes)`` whose similarity reaches the threshold."""
+    side = lambda name: sets.select(F.col("id").alias(name), F.col("hashes").alias(f"g{name}"))
     common = F.size(F.array_intersect("ga", "gb"))
-    scored = joined.select("a", "b", (common / (F.col("na") + F.col("nb") - common)).alias("similarity"))
-    return scored.where(F.col("similarity") >= threshold)
+    scored = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (common / (F.size("ga") + F.size("gb") - common)).alias("similarity"))
+    return scored.where(F.col("similarity") >= threshold).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
+def _signer(rows: int, bands: int):
+    """Batches of ``(id, n, class, hashes)`` with the bucket of each band and a sketch of a byte for each hash function."""
+    rng = np.random.default_rng(rows * 1000 + bands)
+    factor = rng.integers(0, 2**63, rows * bands, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
+    weight = rng.integers(0, 2**63, rows, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def least(h: np.ndarray) -> np.ndarray:
+        out = np.empty(factor.size, np.uint64)
+        # So many functions at a time that the products stay in the cache.
+        step = max(1, 32768 // h.size)
+        for at in range(0, factor.size, step):
+            out[at : at + step] = (factor[at : at + step, None] * h[None, :]).min(1)
+        return out
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column(3).offsets.to_numpy()
+            values = batch.column(3).values.to_numpy().view(np.uint64)
+            mins = np.empty((batch.num_rows, factor.size), np.uint64)
+            for i in range(batch.num_rows):
+                mins[i] = least(values[offsets[i] : offsets[i + 1]])
+            mixed = (mins ^ (mins >> np.uint64(29))).reshape(-1, bands, rows)
+            buckets = (mixed * weight).sum(2, dtype=np.uint64)
+            buckets ^= np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+            buckets ^= buckets >> np.uint64(31)
+            flat = pa.array(buckets.view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), flat)
+            low = (mins >> np.uint64(17)).astype(np.uint8)
+            sketch = pa.array([row.tobytes() for row in low], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists, sketch], names=["id", "n", "class", "buckets", "sketch"])
+
+    return sign
+
+
+def _weigher(threshold: float, functions: int):
+    """Batches of ``(a, b, sketch, sketch)`` without the pairs that lie six deviations under the threshold."""
+    least = threshold - 6 * math.sqrt(max(threshold * (1 - threshold), 0.01) / functions)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first, second = (np.frombuffer(b"".join(batch.column(f"s{c}").to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in "ab")
+            # Bytes of unequal sets agree by chance once in so many.
+            agree = ((first == second).mean(1) - 1 / 256) / (1 - 1 / 256)
+            kept = pa.array(np.flatnonzero(agree >= least))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
+
+    return weigh
+
+
+def _alike(threshold: float) -> Column:
+    """Whether two sizes ``na`` and ``nb`` allow the threshold at all."""
+    return F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-9)
+
+
+def _index(representatives: DataFrame) -> Stored:
+    return store(representatives.select("id", "n", F.explode("buckets").alias("bucket")), "buckets", counted=True)
+
+
+def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, exact: bool = False) -> DataFrame:
+    """``(a, b, similarity)`` for the pairs of texts with that Jaccard similarity or more, ``a < b``.
+
+    Each distinct trigram set is represented by its smallest key; copies are not
+    expanded into pairs.  Texts under three characters and rows without a key
+    match nothing.  The threshold lies above 0; at 1 nothing is left to pair.
+    A pair at the threshold is missed with a probability of ``MISS``, or never if
+    ``exact``.
+    """
+    if exact:
+        return _pigeonhole_pairs(documents, text, key, threshold)
+    sets = TrigramSets(documents, text, key, threshold)
+    representatives = store(sets.representatives(), "representatives").df
+    index = _index(representatives).df
+    side = lambda name: index.select("bucket", F.col("id").alias(name), F.col("n").alias(f"n{name}"))
+    candidates = side("a").join(side("b"), "bucket").where((F.col("a") < F.col("b")) & _alike(threshold)).select("a", "b").distinct()
+    return sets.verified(candidates, representatives)
+
+
+def similar_links(sets: TrigramSets) -> tuple[DataFrame, DataFrame]:
+    """Verified links ``(u, v)`` that join the same sets as all similar pairs would, and the groups ``(group_id, id)``.
+
+    A bucket of any size gives one pair a member, and further pairs only between
+    members that those links leave in different groups.
+    """
+    representatives = store(sets.representatives(), "representatives").df
+    indexed = _index(representatives)
+    index, threshold = indexed.df, sets.threshold
+    anchors = store(index.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("anchor"), F.count("*").alias("size")).where("size > 1").select("bucket", F.col("anchor.id").alias("a"), F.col("anchor.n").alias("na"), "size"), "anchors")
+    hot = hot_rows(anchors.df, "size", indexed.rows).drop("size")
+    shared = store(lookup_join(index, "bucket", anchors.df.drop("size"), "bucket", hot).select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), "a", "na"), "shared-buckets").df
+    first = shared.where((F.col("a") != F.col("b")) & _alike(threshold)).select("a", "b").distinct()
+    found = store(sets.verified(first, representatives).select(F.col("a").alias("u"), F.col("b").alias("v")), "links").df
+    known = store(connected_components(found), "known-groups").df
+    # Members of a bucket that are in one group already are not paired again.
+    placed = shared.select("bucket", F.col("b").alias("id"), F.col("nb").alias("n")).join(known, "id", "left").select("bucket", "id", "n", F.coalesce("group_id", "id").alias("group"))
+    mixed = placed.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most").select("bucket")
+    placed = store(placed.join(mixed, "bucket", "left_semi"), "mixed-buckets").df
+    groups = placed.select("bucket", "group").distinct()
+    across = groups.select("bucket", F.col("group").alias("x")).join(groups.select("bucket", F.col("group").alias("y")), "bucket").where("x < y")
+    side = lambda group, name: placed.select("bucket", F.col("group").alias(group), F.col("id").alias(name), F.col("n").alias(f"n{name}"))
+    between = across.join(side("x", "p"), ["bucket", "x"]).join(side("y", "q"), ["bucket", "y"])
+    ordered = between.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.col("np").alias("na"), F.col("nq").alias("nb")).where(_alike(threshold))
+    more = sets.verified(ordered.select("a", "b").distinct(), representatives).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = store(found.unionByName(more), "links").df
+    return links, connected_components(links)
 
 
 def similar_classes(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """``(key, group_id)``: every document in a group of two or more linked by ``similar_pairs`` or equal sets.
 
-    The group id is the smallest key of the group.
+    The group id is the smallest key of the group.  A document that stands in
+    several rows counts once.
+    """
+    sets = TrigramSets(documents, text, key, threshold)
+    groups = similar_links(sets)[1]
+    joined = sets.members().distinct().join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("id").alias(key), F.coalesce("group_id", "class_id").alias("group_id"))
+    joined = store(joined.distinct(), "grouped", counted=True)
+    sizes = joined.df.groupBy("group_id").agg(F.count("*").alias("size")).where("size > 1")
+    return lookup_join(joined.df, "group_id", sizes.select("group_id"), "group_id", hot_rows(sizes, "size", joined.rows).select("group_id")).select(key, "group_id")
+
+
+def group_statistics(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(group_id, size, pair_count, min_similarity, max_similarity, average_similarity)`` of each group of near duplicates.
+
+    ``size`` counts the distinct sets of the group; similarities are rounded to
+    four places, their sum being taken in whole millionths so that it does not
+    depend on row order.
     """
-    sets = store(shingled(documents, text, key).select(key, "class"), "sets").df
-    classes = store(sets.groupBy("class").agg(F.min(key).alias("class_id"), F.count("*").alias("size")), "classes").df
-    hot = hot_rows(classes, "size", sets.count()).select("class", "class_id")
-    member = store(lookup_join(sets, "class", classes.select("class", "class_id"), "class", hot).select(key, "class_id"), "members").df
-    pairs = similar_pairs(documents, text, key, threshold)
-    groups = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    joined = member.join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(key, F.coalesce("group_id", "class_id").alias("group_id"))
-    sizes = joined.groupBy("group_id").agg(F.count("*").alias("size")).where("size > 1")
-    return joined.join(sizes.select("group_id"), "group_id").select(key, "group_id")
+    rounded = lambda c: F.floor(c * 10000 + 0.5) / 10000
+    units = F.floor(F.col("similarity") * 1_000_000 + 0.5).cast("long")
+    linked = pairs.join(groups.withColumnRenamed("id", "a"), "a").groupBy("group_id")
+    found = linked.agg(F.count("*").alias("pair_count"), F.min("similarity").alias("low"), F.max("similarity").alias("high"), F.sum(units).alias("units"))
+    sizes = groups.groupBy("group_id").agg(F.count("*").alias("size"))
+    return found.join(sizes, "group_id").select("group_id", "size", "pair_count", rounded(F.col("low")).alias("min_similarity"), rounded(F.col("high")).alias("max_similarity"), rounded(F.col("units") / F.col("pair_count") / 1_000_000).alias("average_similarity"))
+
+
+def shared_bands(pairs: DataFrame, buckets: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The pairs ``(a, b, ...)`` with ``shared_bands``, the bands of ``band_buckets`` that both documents share; 0 if none."""
+    pairs = store(pairs, "pairs").df
+    ids = pairs.select(F.explode(F.array("a", "b")).alias(key)).distinct()
+    lists = buckets.join(ids, key, "left_semi").groupBy(key).agg(F.collect_set("bucket").alias("buckets"))
+    side = lambda name: lists.select(F.col(key).alias(name), F.col("buckets").alias(f"k{name}"))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return joined.select(*pairs.columns, F.coalesce(F.size(F.array_intersect("ka", "kb")), F.lit(0)).cast("long").alias("shared_bands"))
 
 
 SEEDS = np.array([xxhash.xxh64_intdigest(str(i)) | 1 for i in range(SKETCH)], np.uint64)

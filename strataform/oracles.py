@@ -212,16 +212,6 @@ SQL = {
         g as (select doc_id, t[i:i + 2] as g from (select doc_id, t, unnest(range(1, length(t) - 1)) as i from d where length(t) >= 3))
         select doc_id, count(distinct g)::bigint as trigrams from g group by 1
     """,
-    "near_dup_pairs": rf"""
-        with d as (select doc_id, lower(trim(regexp_replace(text, '[{_BLANK}]+', ' ', 'g'))) as t from documents where length(text) >= 3),
-        g as (select distinct doc_id, t[i:i + 2] as g from (select doc_id, t, unnest(range(1, length(t) - 1)) as i from d where length(t) >= 3)),
-        s as (select doc_id, list_sort(list(g)) as gs, count(*) as n from g group by 1),
-        c as (select min(doc_id) as id, any_value(n) as n, gs from s group by gs),
-        p as (select id, n, unnest(gs) as g from c),
-        x as (
-            select a.id as a, b.id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as k from p a join p b on a.g = b.g and a.id < b.id and least(a.n, b.n) >= 0.85 * greatest(a.n, b.n) - 1e-9 group by 1, 2)
-        select a, b, floor(k / (na + nb - k) * 10000 + 0.5) / 10000 as similarity from x where k / (na + nb - k) >= 0.85
-    """,
     "keep_first": f"""
         with {_CORPUS}, r as (select *, row_number() over (partition by normalized_checksum order by created_at nulls first, doc_id) as rk from corpus)
         select doc_id, normalized_checksum from r where normalized_checksum is null or rk = 1
@@ -377,19 +367,46 @@ SQL["representatives"] = f"""
     b as (select * from m qualify row_number() over (partition by group_id order by s desc, doc_id) = 1)
     select group_id, doc_id, 'has_normalized_text_' || case when s > 0 then 'quality_score_' || printf('%.2f', floor(s * 100 + 0.5) / 100) || '_' else '' end || 'no_warnings_stable_id' as selection_basis from b
 """
-SQL["near_dup_groups"] = rf"""
-    with recursive d as (select doc_id, lower(trim(regexp_replace(text, '[{_BLANK}]+', ' ', 'g'))) as t from documents where length(text) >= 3),
-    g as (select distinct doc_id, t[i:i + 2] as g from (select doc_id, t, unnest(range(1, length(t) - 1)) as i from d where length(t) >= 3)),
-    s as (select doc_id, list_sort(list(g)) as gs from g group by 1),
-    pairs as (select a, b from ({SQL["near_dup_pairs"]})),
-    same as (select gs, min(doc_id) as m from s group by 1),
-    e as (select s.doc_id as u, same.m as v from s join same on same.gs = s.gs where s.doc_id <> same.m union select a, b from pairs),
-    edges as (select u, v from e union select v, u from e),
-    walk(u, v) as (select u, u from edges union select w.u, x.v from walk w join edges x on x.u = w.v)
-    select u as doc_id, min(v) as group_id from walk group by 1
-"""
-SQL["near_group_statistics"] = f"""
-    with recursive p as (select a, b, similarity from ({SQL["near_dup_pairs"]})), edges as (select a as u, b as v from p union select b, a from p),
-    walk(u, v) as (select u, u from edges union select w.u, x.v from walk w join edges x on x.u = w.v), l as (select u, min(v) as g from walk group by 1)
-    select l.g as group_id, count(*) as pair_count, max(similarity) as max_similarity, min(similarity) as min_similarity from p join l on l.u = p.a group by 1
-"""
+
+
+def _similar(threshold: float) -> str:
+    return rf"""
+        with d as (select doc_id, lower(trim(regexp_replace(text, '[{_BLANK}]+', ' ', 'g'))) as t from documents where length(text) >= 3),
+        g as (select distinct doc_id, t[i:i + 2] as g from (select doc_id, t, unnest(range(1, length(t) - 1)) as i from d where length(t) >= 3)),
+        s as (select doc_id, list_sort(list(g)) as gs, count(*) as n from g group by 1),
+        c as (select min(doc_id) as id, any_value(n) as n, gs from s group by gs),
+        p as (select id, n, unnest(gs) as g from c),
+        x as (
+            select a.id as a, b.id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as k from p a join p b on a.g = b.g and a.id < b.id and least(a.n, b.n) >= {threshold} * greatest(a.n, b.n) - 1e-9 group by 1, 2)
+        select a, b, floor(k / (na + nb - k) * 10000 + 0.5) / 10000 as similarity from x where k / (na + nb - k) >= {threshold}
+    """
+
+
+def _similar_groups(threshold: float) -> str:
+    return rf"""
+        with recursive d as (select doc_id, lower(trim(regexp_replace(text, '[{_BLANK}]+', ' ', 'g'))) as t from documents where length(text) >= 3),
+        g as (select distinct doc_id, t[i:i + 2] as g from (select doc_id, t, unnest(range(1, length(t) - 1)) as i from d where length(t) >= 3)),
+        s as (select doc_id, list_sort(list(g)) as gs from g group by 1),
+        pairs as (select a, b from ({_similar(threshold)})),
+        same as (select gs, min(doc_id) as m from s group by 1),
+        e as (select s.doc_id as u, same.m as v from s join same on same.gs = s.gs where s.doc_id <> same.m union select a, b from pairs),
+        edges as (select u, v from e union select v, u from e),
+        walk(u, v) as (select u, u from edges union select w.u, x.v from walk w join edges x on x.u = w.v)
+        select u as doc_id, min(v) as group_id from walk group by 1
+    """
+
+
+SQL |= {
+    "near_dup_pairs": _similar(0.85),
+    "near_dup_pairs_060": _similar(0.6),
+    "near_dup_groups": _similar_groups(0.85),
+    "near_dup_groups_060": _similar_groups(0.6),
+    "near_group_statistics": f"""
+        with recursive p as (select a, b, similarity from ({_similar(0.6)})), edges as (select a as u, b as v from p union select b, a from p),
+        walk(u, v) as (select u, u from edges union select w.u, x.v from walk w join edges x on x.u = w.v), l as (select u, min(v) as g from walk group by 1),
+        n as (select g, count(*) as size from l group by 1)
+        select l.g as group_id, any_value(n.size) as size, count(*) as pair_count, max(similarity) as max_similarity, min(similarity) as min_similarity,
+            floor(sum(floor(similarity * 1000000 + 0.5)::bigint) / count(*) / 1000000 * 10000 + 0.5) / 10000 as average_similarity
+        from p join l on l.u = p.a join n on n.g = l.g group by 1
+    """,
+}

@@ -283,9 +283,19 @@ def sketch_bands(spark: SparkSession, d: str) -> DataFrame:
     return dedup.band_groups(dedup.sketches(_documents(spark, d)))
 
 
+def _similar(spark: SparkSession, d: str, threshold: float) -> DataFrame:
+    found = dedup.similar_pairs(_documents(spark, d), threshold=threshold)
+    return found.select("a", "b", (F.floor(F.col("similarity") * 10000 + 0.5) / 10000).alias("similarity"))
+
+
 @query
 def near_dup_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.similar_pairs(_documents(spark, d)).select("a", "b", (F.floor(F.col("similarity") * 10000 + 0.5) / 10000).alias("similarity"))
+    return _similar(spark, d, dedup.THRESHOLD)
+
+
+@query
+def near_dup_pairs_060(spark: SparkSession, d: str) -> DataFrame:
+    return _similar(spark, d, 0.6)
 
 
 @query
@@ -293,13 +303,20 @@ def near_dup_groups(spark: SparkSession, d: str) -> DataFrame:
     return dedup.similar_classes(_documents(spark, d))
 
 
+@query
+def near_dup_groups_060(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.similar_classes(_documents(spark, d), threshold=0.6)
+
+
 @query
 def near_group_statistics(spark: SparkSession, d: str) -> DataFrame:
-    documents = _documents(spark, d)
-    pairs = store(dedup.similar_pairs(documents), "pairs").df
-    groups = dedup.connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rounded = lambda c: F.floor(c * 10000 + 0.5) / 10000
-    return pairs.join(groups.withColumnRenamed("id", "a"), "a").groupBy("group_id").agg(F.count("*").alias("pair_count"), rounded(F.max("similarity")).alias("max_similarity"), rounded(F.min("similarity")).alias("min_similarity"))
+    pairs = store(_similar(spark, d, 0.6), "pairs").df
+    return dedup.group_statistics(pairs, dedup.connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+
+@query
+def near_pair_bands(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.shared_bands(_similar(spark, d, 0.6), dedup.band_buckets(dedup.sketches(_documents(spark, d))))
 
 
 @query
