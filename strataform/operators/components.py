@@ -96,12 +96,14 @@ def _finish(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").coalesce(1).mapInArrow(run, f"id {kind}, label {kind}")
 
 
-def connected_components(edges: DataFrame, finish_edges: int = FINISH_EDGES, rounds: list[int] | None = None) -> DataFrame:
+def connected_components(edges: DataFrame, finish_edges: int = FINISH_EDGES, least_rounds: int = 0, rounds: list[int] | None = None) -> DataFrame:
     """``(group_id, id)`` for every node of ``edges(u, v)``; the group id is the smallest id reached.
 
     An empty table gives an empty result.  Null ends and a node paired with
-    itself link nothing; repeated and turned edges count once.  ``rounds``, if
-    given, receives the number of nodes with edges before each round.
+    itself link nothing; repeated and turned edges count once.  At least
+    ``least_rounds`` rounds run before one task finishes the edges left, if they
+    are few enough.  ``rounds``, if given, receives the number of nodes with edges
+    before each round.
     """
     ends = F.col("u") < F.col("v")
     known = edges.where("u <> v").select(F.when(ends, F.col("u")).otherwise(F.col("v")).alias("u"), F.when(ends, F.col("v")).otherwise(F.col("u")).alias("v"))
@@ -109,7 +111,7 @@ def connected_components(edges: DataFrame, finish_edges: int = FINISH_EDGES, rou
     levels: list[Stored] = []
     while current.rows:
         turn = len(levels)
-        if turn and current.rows <= finish_edges:
+        if turn >= least_rounds and current.rows <= finish_edges:
             levels.append(store(_finish(current.df), "finished", counted=True))
             break
         hook = store(_hook(current.df, turn), "hook", counted=True)

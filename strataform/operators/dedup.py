@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ SHINGLE = 3
 SKETCH, BANDS = 128, 16
 #: The chance that a pair at the threshold shares no band.
 MISS = 1e-4
-#: Similarity of texts that have nothing but a language in common.
-BACKGROUND = 0.35
+#: Similarity of texts that have little but a language and a kind in common.
+BACKGROUND = 0.5
 #: Bands at most; they then have fewer rows, and buckets more pairs to weigh.
 MOST_BANDS = 160
 TIERS = ("raw_exact", "normalized_exact", "near_duplicate")
@@ -147,7 +148,7 @@ def band_plan(threshold: float, sets: int) -> tuple[int, int]:
 
 
 def _hashes(grams: Column) -> Column:
-    return F.array_sort(F.transform(grams, lambda g: F.xxhash64(g)))
+    return F.transform(grams, lambda g: F.xxhash64(g))
 
 
 class TrigramSets:
@@ -162,17 +163,14 @@ class TrigramSets:
         self.texts = documents.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
         # The rows of a band follow from how many texts there are.
         self.rows, self.bands = band_plan(threshold, self.texts.count())
-        hashed = self._hashed(self.texts)
-        # Two hashes of the whole set, of different seeds, stand for it.
-        keyed = hashed.select("id", F.size("hashes").alias("n"), F.concat_ws("-", F.xxhash64(F.lit(0), "hashes"), F.xxhash64(F.lit(1), "hashes")).alias("class"), "hashes")
-        signed = keyed.mapInArrow(_signer(self.rows, self.bands), f"id {self.kind}, n int, class string, buckets array<long>, sketch binary")
+        signed = self._hashed(self.texts).mapInArrow(_signer(self.rows, self.bands), f"id {self.kind}, n int, class binary, buckets array<long>, sketch binary")
         self.signed = store(signed, "signed-sets", counted=True)
         self.classes = store(self.signed.df.groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("size")).where("size > 1"), "set-classes")
         self.hot = hot_rows(self.classes.df, "size", self.signed.rows).select("class", "class_id")
 
     @staticmethod
     def _hashed(texts: DataFrame) -> DataFrame:
-        return texts.select("id", _hashes(character_ngrams(F.col("text"), SHINGLE)).alias("hashes")).where(F.size("hashes") > 0)
+        return texts.select("id", _hashes(character_ngrams(F.col("text"), SHINGLE)).alias("hashes"))
 
     def _joined(self, columns: list[str]) -> DataFrame:
         """The signed rows with their class's id, null where the set stands alone."""
@@ -195,9 +193,8 @@ class TrigramSets:
         near = store(weighed, "near-candidates", counted=True)
         ids = store(near.df.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
         small = ids.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES
-        # The smallest of equal keys' texts is the one that stands for the class.
-        sets = self._hashed(self.texts.join(F.broadcast(ids.df) if small else ids.df, "id", "left_semi"))
-        return verify(near.df, sets, self.threshold)
+        sets = store(self._hashed(self.texts.join(F.broadcast(ids.df) if small else ids.df, "id", "left_semi")), "near-sets")
+        return verify(near.df, sets.df, self.threshold)
 
 
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -209,10 +206,13 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _signer(rows: int, bands: int):
-    """Batches of ``(id, n, class, hashes)`` with the bucket of each band and a sketch of a byte for each hash function."""
+    """From batches of ``(id, hashes)`` each set's size, class, bucket of each band, and sketch of a byte for each hash function.
+
+    The class is 128 bits that follow from the set alone.  Empty sets give no row.
+    """
     rng = np.random.default_rng(rows * 1000 + bands)
-    factor = rng.integers(0, 2**63, rows * bands, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
-    weight = rng.integers(0, 2**63, rows, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
+    factor = rng.integers(0, 2**64, rows * bands, np.uint64) | np.uint64(1)
+    weight = rng.integers(0, 2**64, max(2, rows), np.uint64) | np.uint64(1)
 
     def least(h: np.ndarray) -> np.ndarray:
         out = np.empty(factor.size, np.uint64)
@@ -222,22 +222,34 @@ def _signer(rows: int, bands: int):
             out[at : at + step] = (factor[at : at + step, None] * h[None, :]).min(1)
         return out
 
+    def whole(h: np.ndarray) -> bytes:
+        mixed = h ^ (h >> np.uint64(32))
+        halves = [(mixed * weight[0]).sum(dtype=np.uint64)]
+        mixed = (h * weight[1]) ^ ((h * weight[1]) >> np.uint64(29))
+        return np.array([*halves, (mixed * weight[0]).sum(dtype=np.uint64)], np.uint64).tobytes()
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets = batch.column(3).offsets.to_numpy()
-            values = batch.column(3).values.to_numpy().view(np.uint64)
-            mins = np.empty((batch.num_rows, factor.size), np.uint64)
-            for i in range(batch.num_rows):
-                mins[i] = least(values[offsets[i] : offsets[i + 1]])
-            mixed = (mins ^ (mins >> np.uint64(29))).reshape(-1, bands, rows)
-            buckets = (mixed * weight).sum(2, dtype=np.uint64)
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            filled = np.flatnonzero(sizes > 0)
+            if not filled.size:
+                continue
+            offsets = batch.column(1).offsets.to_numpy()
+            values = batch.column(1).values.to_numpy().view(np.uint64)
+            mins, classes = np.empty((filled.size, factor.size), np.uint64), []
+            for at, i in enumerate(filled):
+                h = values[offsets[i] : offsets[i + 1]]
+                mins[at] = least(h)
+                classes.append(whole(h))
+            mixed = (mins * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(7)).reshape(-1, bands, rows)
+            buckets = (mixed * weight[:rows]).sum(2, dtype=np.uint64)
             buckets ^= np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
             buckets ^= buckets >> np.uint64(31)
             flat = pa.array(buckets.view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), flat)
-            low = (mins >> np.uint64(17)).astype(np.uint8)
-            sketch = pa.array([row.tobytes() for row in low], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists, sketch], names=["id", "n", "class", "buckets", "sketch"])
+            low = (mins * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.uint8)
+            columns = [batch.column(0).take(pa.array(filled)), pa.array(sizes[filled].astype(np.int32)), pa.array(classes, pa.binary()), lists, pa.array([row.tobytes() for row in low], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class", "buckets", "sketch"])
 
     return sign
 

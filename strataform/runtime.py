@@ -109,13 +109,19 @@ def store(df: DataFrame, name: str, counted: bool = False) -> Stored:
     return Stored(df, name, counted)
 
 
+#: A table that comes in too few pieces is spread over the cores only up to this size.
+SPREAD_LIMIT_BYTES = 128 << 20
+
+
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where a table comes in fewer pieces than there are cores.
+    """Rows of a small table over all cores, where it comes in fewer pieces than there are cores.
 
-    A single small file would otherwise keep one core busy; a table of many
-    pieces is left as it is and never shuffled.
+    A single small file would otherwise keep one core busy.  The plan's estimate
+    of its size bounds what is shuffled; larger tables are left as they are.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
+    if int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_LIMIT_BYTES:
+        return rows
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
