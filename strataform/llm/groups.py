@@ -1,12 +1,8 @@
 """Consolidating pairwise matches into groups.
 
 Minimum labels are propagated across the edges and accelerated with pointer
-jumping.  Each round hooks every node to the smallest neighbour, jumps the
-pointers, relabels the edges by the labels reached and keeps the edges that
-still join two different labels; every round is written to the shared folder.
-The loop ends when no label changes, that is when no edge is left.  A round at
-least halves the number of labels per component, so the number of rounds is
-logarithmic, and each round's tables shrink accordingly.
+jumping, every round being written to the shared folder, until no label changes;
+see ``strataform.operators.components`` for the rounds and how fast they shrink.
 """
 
 from __future__ import annotations
@@ -14,80 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, store, trimmed
+from strataform.operators.components import connected_components
+from strataform.runtime import trimmed
 
 
 def match_edges(pairs: DataFrame, a: str, b: str, match: Column) -> DataFrame:
-    """Distinct edges ``(u, v)``, ``u < v``, of pairs any of whose rows match.
+    """Edges ``(u, v)``, ``u < v``, of pairs any of whose rows match; repeated pairs give repeated edges.
 
     Ids are compared trimmed and in lower case.  Null ids, null outcomes and a
     record paired with itself link nothing; blank ids count as null.
     """
     clean = lambda name: F.nullif(F.lower(trimmed(F.col(name))), F.lit(""))
     ids = pairs.where(match).select(clean(a).alias("x"), clean(b).alias("y"))
-    return ids.where("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-
-
-def _hook(edges: DataFrame) -> DataFrame:
-    """``(id, label, degree)``: every node with its smallest neighbour or itself."""
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.groupBy(F.col("u").alias("id")).agg(F.min(F.least("u", "v")).alias("label"), F.count("*").alias("degree"))
-
-
-def _through(rows: DataFrame, key: str, table: Stored, id_column: str, value: str, counts: DataFrame | None, total: int) -> DataFrame:
-    """Replace ``rows[key]`` by ``table``'s value for it, all keys being in the table.
-
-    A table of measured small size is broadcast.  A larger one is joined by a
-    shuffle, its hot keys apart: ``counts(id, n)`` says how many rows hold a key.
-    """
-    pairs = table.df.select(F.col(id_column).alias(key), F.col(value).alias("_to"))
-    if table.size_bytes() <= BROADCAST_LIMIT_BYTES // 4:
-        joined = rows.join(F.broadcast(pairs), key)
-    else:
-        if counts is None:
-            counts = rows.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
-        hot = store(hot_rows(counts, "n", total).select(F.col("id").alias(key)), "hot").df
-        joined = lookup_join(rows, key, pairs, key, pairs.join(F.broadcast(hot), key, "left_semi"))
-    return joined.drop(key).withColumnRenamed("_to", key)
-
-
-def connected_components(edges: DataFrame, jumps: int = 1) -> DataFrame:
-    """Group every node of ``edges(u, v)`` with all nodes it reaches.
-
-    Returns ``(group_id, id)``, the group id being the smallest id of the group
-    in byte order.  Expects distinct edges with ``u < v``; an empty table gives
-    an empty result.  Nodes without an edge do not appear.
-    """
-    current = store(edges.select("u", "v"), "edges")
-    levels: list[Stored] = []
-    while n := current.df.count():
-        hook = store(_hook(current.df), "hook")
-        degrees = hook.df.select("id", F.col("degree").alias("n"))
-        jumped = hook
-        for _ in range(jumps):
-            following = store(_through(jumped.df.select("id", "label"), "label", jumped, "id", "label", None, jumped.df.count()), "jump")
-            if jumped is not hook:
-                jumped.drop()
-            jumped = following
-        moved = _through(_through(current.df, "u", jumped, "id", "label", degrees, 2 * n), "v", jumped, "id", "label", degrees, 2 * n)
-        following = store(moved.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
-        current.drop()
-        hook.drop()
-        current, levels = following, [*levels, jumped]
-    if not levels:
-        return current.df.select(F.col("u").alias("group_id"), F.col("v").alias("id"))
-    # Compose the rounds from the last to the first: a label of one round is a
-    # node of the next, or the final label when it has no edge left.
-    final = levels[-1]
-    for level in reversed(levels[:-1]):
-        rows = level.df.select("id", "label")
-        ends = rows.select(F.col("label").alias("node")).distinct().join(final.df.withColumnRenamed("id", "node"), "node", "left")
-        table = store(ends.select(F.col("node").alias("id"), F.coalesce("label", "node").alias("label")), "labels")
-        composed = store(_through(rows, "label", table, "id", "label", None, rows.count()), "composed")
-        for used in (final, level, table):
-            used.drop()
-        final = composed
-    return final.df.select(F.col("label").alias("group_id"), "id")
+    return ids.where("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
 
 
 def consolidate(pairs: DataFrame, a: str = "document_a_id", b: str = "document_b_id", match: str = "is_duplicate") -> DataFrame:
@@ -97,5 +32,5 @@ def consolidate(pairs: DataFrame, a: str = "document_a_id", b: str = "document_b
     it was compared; see ``match_edges`` for nulls and spelling.  Further
     columns of ``pairs`` are ignored, so clashing names do no harm.
     """
-    groups = connected_components(match_edges(pairs.select(a, b, match), a, b, F.col(match) == F.lit(True)))
+    groups = connected_components(match_edges(pairs.select(a, b, match), a, b, F.col(match) == F.lit(True)), least_rounds=1)
     return groups.select("group_id", F.col("id").alias("document_id"))
