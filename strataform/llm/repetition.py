@@ -76,8 +76,10 @@ def suffix_ranks(words: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, l
     words; rounds go on until no two suffixes of a document do.
     """
     n = words.size
+    if n >= 2**31:
+        raise ValueError(f"a text of {n} words has more than a suffix array of 31 bits can hold")
     _, word = _ranked(words)
-    order, rank = _ranked(word + document.astype(np.int64) * n if n < 2**31 else word)
+    order, rank = _ranked(word + document.astype(np.int64) * n)
     levels = [rank]
     step = 1
     while True:

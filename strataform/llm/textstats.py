@@ -34,8 +34,9 @@ KINDS = ("prose", "list", "table", "junk")
 #: A document with less than this share of prose is not natural prose.
 PROSE_SHARE = 0.5
 
-#: Iterations of the fit at most; it ends when the likelihood gains less than GAIN per segment.
-ITERATIONS, GAIN = 12, 0.005
+#: The fit ends when a step adds less than this to the mean log-likelihood of a segment.
+#: Variances have a least value, so the likelihood has a greatest and the fit an end.
+GAIN = 0.005
 
 #: Variances in standardized units stay above this.
 LEAST_VARIANCE = 0.02
@@ -194,6 +195,7 @@ class Mixture:
 
     def __init__(self, centre: np.ndarray, scale: np.ndarray, weights: np.ndarray, means: np.ndarray, variances: np.ndarray):
         self.centre, self.scale, self.weights, self.means, self.variances = centre, scale, weights, means, variances
+        self.gains: list[float] = []  # of each step of the fit
 
     def log_joint(self, x: np.ndarray) -> np.ndarray:
         """Log density times weight of each standardized row for each component."""
@@ -244,8 +246,8 @@ def example_segments() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found["features"].astype(np.float64), kind, group
 
 
-def fit(table: DataFrame, iterations: int = ITERATIONS) -> Mixture | None:
-    """Fit the mixture to all segments; None for an empty table.
+def fit(table: DataFrame, gain: float = GAIN) -> Mixture | None:
+    """Fit the mixture to all segments until a step gains less than ``gain``; None for an empty table.
 
     Components start at the groups of the inspected examples, so the fit is the
     same for the same rows in any order, up to rounding.
@@ -261,8 +263,8 @@ def fit(table: DataFrame, iterations: int = ITERATIONS) -> Mixture | None:
     k = group.max() + 1
     means = np.stack([x[group == g].mean(0) for g in range(k)])
     mixture = Mixture(centre, scale, np.full(k, 1 / k), means, np.full((k, d), 0.3))
-    before = -np.inf
-    for _ in range(iterations):
+    before, gains = -np.inf, []
+    while not gains or gains[-1] >= gain:
 
         def step(raw: np.ndarray, m: Mixture = mixture) -> np.ndarray:
             z = m.standardized(raw)
@@ -276,9 +278,9 @@ def fit(table: DataFrame, iterations: int = ITERATIONS) -> Mixture | None:
         mean = (total[k + 1 : k + 1 + k * d].reshape(k, d) + prior * means) / (mass + prior)[:, None]
         square = (total[k + 1 + k * d :].reshape(k, d) + prior * (means**2 + 0.3)) / (mass + prior)[:, None]
         mixture = Mixture(centre, scale, (mass + prior) / (mass + prior).sum(), mean, np.maximum(square - mean**2, LEAST_VARIANCE))
-        if likelihood - before < GAIN:
-            break
+        gains.append(float(likelihood - before))
         before = likelihood
+    mixture.gains = gains
     return mixture
 
 
