@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataform.llm.tokens import portions
+
 #: The network's classes; the last one is text that holds no language.
 LANGUAGES = ("en", "es", "fr", "de", "pt", "it", "nl")
 NONE = len(LANGUAGES)
@@ -30,6 +32,9 @@ WINDOW = 224
 #: Windows that run side by side.
 LANES = 1024
 
+#: Characters of texts that are labelled together; equal windows among them are labelled once.
+PORTION = 4_000_000
+
 #: A whole sentence ends with a mark, has this many words and this confidence.
 SENTENCE_WORDS, SENTENCE_CONFIDENCE = 4, 0.7
 #: Whole sentences that make a language one of a mixed document, however long it is.
@@ -302,7 +307,7 @@ def detect_language(documents: DataFrame) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("lang", pa.string()), ("sentences", pa.int32()), ("confidence", pa.float64())]))
         for batch in batches:
-            found = _detect([t or "" for t in batch.column(1).to_pylist()])
+            found = [x for _, texts in portions([t or "" for t in batch.column(1).to_pylist()], PORTION) for x in _detect(texts)]
             columns = [
                 batch.column(0),
                 pa.array([label_code(x) for x in batch.column(2).to_pylist()], pa.string()),
@@ -318,6 +323,29 @@ def detect_language(documents: DataFrame) -> DataFrame:
 SEGMENTS = "doc_id long, segment_no int, language string, confidence double, text string"
 
 
+def _segments(ids: list, texts: list[str]) -> list[tuple]:
+    """The rows of ``language_segments`` for some documents."""
+    out: list[tuple] = []
+    pieces = [[p for p, _ in sentences(t)] for t in texts]
+    data = [(i, k, w) for i, mine in enumerate(pieces) for k, p in enumerate(mine) for w in windows(spell(p))]
+    pooled = Network.load().pool([w for _, _, w in data]) if data else []
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for (i, k, w), p in zip(data, pooled, strict=True):
+        sums[i, k] = sums.get((i, k), 0) + p * len(w)
+    for i, (doc_id, mine) in enumerate(zip(ids, pieces, strict=True)):
+        runs: list[list] = []
+        for k, piece in enumerate(mine):
+            p = sums[i, k] / sums[i, k].sum() if (i, k) in sums else np.eye(NONE + 1)[NONE]
+            best = int(p.argmax())
+            if runs and runs[-1][0] == best:
+                runs[-1][1].append(piece)
+                runs[-1][2].append(p[best])
+            else:
+                runs.append([best, [piece], [p[best]]])
+        out += [(doc_id, k, None if b == NONE else LANGUAGES[b], float(np.mean(c)), " ".join(t)) for k, (b, t, c) in enumerate(runs)]
+    return out
+
+
 def language_segments(documents: DataFrame) -> DataFrame:
     """``(doc_id, segment_no, language, confidence, text)``: runs of sentences of one language.
 
@@ -326,29 +354,12 @@ def language_segments(documents: DataFrame) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.string()]
         for batch in batches:
-            out: list[tuple] = []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            pieces = [[p for p, _ in sentences(t)] for t in texts]
-            data = [(i, k, w) for i, mine in enumerate(pieces) for k, p in enumerate(mine) for w in windows(spell(p))]
-            pooled = Network.load().pool([w for _, _, w in data]) if data else []
-            sums: dict[tuple[int, int], np.ndarray] = {}
-            for (i, k, w), p in zip(data, pooled, strict=True):
-                sums[i, k] = sums.get((i, k), 0) + p * len(w)
-            for i, (doc_id, mine) in enumerate(zip(batch.column(0).to_pylist(), pieces, strict=True)):
-                runs: list[list] = []
-                for k, piece in enumerate(mine):
-                    p = sums[i, k] / sums[i, k].sum() if (i, k) in sums else np.eye(NONE + 1)[NONE]
-                    best = int(p.argmax())
-                    if runs and runs[-1][0] == best:
-                        runs[-1][1].append(piece)
-                        runs[-1][2].append(p[best])
-                    else:
-                        runs.append([best, [piece], [p[best]]])
-                out += [(doc_id, k, None if b == NONE else LANGUAGES[b], float(np.mean(c)), " ".join(t)) for k, (b, t, c) in enumerate(runs)]
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.string()]
-            columns = zip(*out, strict=True) if out else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+            for start, texts in portions([t or "" for t in batch.column(1).to_pylist()], PORTION):
+                rows = _segments(batch.column(0).slice(start, len(texts)).to_pylist(), texts)
+                columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
     return documents.where("doc_id is not null").select("doc_id", "text").mapInArrow(cut, SEGMENTS)
 

@@ -5,7 +5,9 @@ page order are the lines of the extracted text.  The main container is the
 smallest element around the page's headline that also holds its prose; within it
 linked pointers to other pages and prompts that recur over the corpus are
 furniture too.  Everything is decided from one narrow row per page: hashes of
-blocks travel, texts do not.
+blocks travel, texts do not.  No words of any language and no names of classes
+are known beforehand.  The body kept is rendered with its spacing, list marks and
+aligned cells.
 """
 
 from __future__ import annotations
@@ -18,14 +20,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataform.llm.pages import HEADINGS, INLINE, Block, Element, Page, decode, parse
+from strataform.llm.pages import HEADINGS, INLINE, Block, Element, Page, decode, parse, render
 from strataform.llm.sitelines import clean_domain, url_host
 from strataform.runtime import store
 
 #: A prompt recurs on this share of all pages, but on no fewer pages than this.
-PROMPT_SHARE, PROMPT_PAGES = 0.0005, 5
-#: Or on this share of its own site's pages, and on no fewer of them than PROMPT_PAGES.
-SITE_SHARE = 0.1
+PROMPT_SHARE, PROMPT_PAGES = 0.0005, 3
+#: Or on this share of its own site's pages, and on no fewer of them than this.
+SITE_SHARE, SITE_PAGES = 0.1, 5
+
+#: Pages that are taken from a batch at once, which bounds what their trees hold.
+PAGES_AT_ONCE = 256
 
 #: Longer paragraphs are never prompts, however often a text is syndicated.
 PROMPT_CHARS = 160
@@ -33,27 +38,11 @@ PROMPT_CHARS = 160
 #: Elements that hold prose of their own.
 _PROSE = frozenset("p li blockquote pre dd td th figcaption caption div section article main address".split())
 _OUTER = frozenset("#root html body".split())
-_FURNITURE = re.compile(r"\b(?:nav|menu|foot|footer|side|sidebar|comment|comments|share|social|cookie|banner|crumb|related|promo|advert|ads?|author|bio|newsletter)\b")
 _FURNITURE_TAGS = frozenset("nav aside footer form menu dialog".split())
 
-# Words that open or make up prompts and adverts in the languages of the pages.
-PROMPTS = re.compile(
-    r"^(?:advertisement|sponsored(?: content)?|paid content|partner offer\b.*|subscribe\b.*|sign up\b.*|get our\b.*|"
-    r"anzeige|werbung|bezahlter inhalt|angebot unserer partner\b.*|bestellen sie\b.*|unsere wochenübersicht\b.*|abonnieren sie\b.*|"
-    r"publicidad|contenido patrocinado|oferta de socios\b.*|suscríbase\b.*|reciba la carta\b.*|nuestro resumen semanal\b.*|"
-    r"publicité|contenu sponsorisé|offre partenaire\b.*|abonnez-vous\b.*|recevez la lettre\b.*|notre résumé de la semaine\b.*|"
-    r"publicidade|conteúdo patrocinado|oferta de parceiros\b.*|assine\b.*|subscreva\b.*|receba a carta\b.*|"
-    r"pubblicità|contenuto sponsorizzato|offerta (?:dei|dai) partner\b.*|abbonat[ei]\b.*|riceva la lettera\b.*|ricevete la lettera\b.*|"
-    r"advertentie|gesponsorde inhoud|aanbod van partners\b.*|abonneer\b.*|schrijf (?:u|je) in\b.*|ontvang de\b.*)$",
-    re.I,
-)
 _DIGITS = re.compile(r"\d+")
 
 
-def _is_prompt(text: str) -> bool:
-    return len(text) <= PROMPT_CHARS and PROMPTS.match(text.rstrip(" .!")) is not None
-
-
 def _outermost(page: Page, element: Element) -> list[Element]:
     """The block elements around and with ``element`` below the body, outermost first."""
     out = []
@@ -65,7 +54,7 @@ def _outermost(page: Page, element: Element) -> list[Element]:
 
 
 def _is_furniture(element: Element) -> bool:
-    return element.tag in _FURNITURE_TAGS or _FURNITURE.search(element.hint.replace("-", " ").replace("_", " ")) is not None
+    return element.tag in _FURNITURE_TAGS
 
 
 def main_blocks(page: Page) -> list[bool]:
@@ -109,7 +98,7 @@ def _pointer(block: Block) -> bool:
 
 
 _PAGES = "artifact_id string, site long, blocks array<long>, outside array<boolean>, prompts array<long>"
-_ALIGNED = "artifact_id string, site long, line_no long, outside boolean, prompt long"
+_ALIGNED = "artifact_id string, site long, line_no long, outside boolean, prompt long, block int"
 
 
 def _describe(data: bytes | None, content_type: str | None) -> tuple[list[int], list[bool], list[int]]:
@@ -123,7 +112,7 @@ def _describe(data: bytes | None, content_type: str | None) -> tuple[list[int],
     sites = [s for s in re.split(r"\s+[|–—-]\s+", " ".join(page.title.split())) if s and s != headline][-1:]
     outside, prompts = [], []
     for block, inside in zip(page.blocks, main_blocks(page), strict=True):
-        out = not inside or _pointer(block) or block.element.tag == "p" and not block.heading and _is_prompt(block.text)
+        out = not inside or _pointer(block)
         outside.append(out)
         prompt = 0
         if not out and block.element.tag == "p" and not block.heading and len(block.text) <= PROMPT_CHARS:
@@ -141,6 +130,12 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _few_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+            yield batch.slice(at, PAGES_AT_ONCE)
+
+
 def describe_pages(artifacts: DataFrame) -> DataFrame:
     """One narrow row per artifact; artifacts that hold no markup have no blocks.
 
@@ -150,7 +145,7 @@ def describe_pages(artifacts: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
-        for batch in batches:
+        for batch in _few_at_once(batches):
             rows = [_describe(data, kind) for data, kind in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             columns = [batch.column(0), batch.column(3), *([r[i] for r in rows] for i in range(3))]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PAGES.split(", ")])
@@ -175,43 +170,30 @@ def align(lines: list[int], blocks: list[int]) -> list[int]:
 
 
 def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
     for batch in batches:
-        ids: list[str] = []
-        sites: list[int | None] = []
-        numbers: list[int] = []
-        outside: list[bool] = []
-        prompts: list[int] = []
+        rows: list[tuple] = []
         for key, site, lines, blocks, out, prompt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if not blocks:
                 continue
             place = align(lines, blocks)
             for k, b in enumerate(place):
-                if b < 0:
-                    # A line no block shows sides with its neighbours.
-                    near = next((place[j] for d in range(1, len(place)) for j in (k - d, k + d) if 0 <= j < len(place) and place[j] >= 0), -1)
-                    if near < 0:
-                        continue
-                    ids.append(key)
-                    sites.append(site)
-                    numbers.append(k + 1)
-                    outside.append(out[near])
-                    prompts.append(0)
-                else:
-                    ids.append(key)
-                    sites.append(site)
-                    numbers.append(k + 1)
-                    outside.append(out[b])
-                    prompts.append(prompt[b])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(sites, pa.int64()), pa.array(numbers, pa.int64()), pa.array(outside, pa.bool_()), pa.array(prompts, pa.int64())],
-            names=["artifact_id", "site", "line_no", "outside", "prompt"],
-        )
+                if b >= 0:
+                    rows.append((key, site, k + 1, out[b], prompt[b], b))
+                    continue
+                # A line no block shows sides with its neighbours.
+                near = next((place[j] for d in range(1, len(place)) for j in (k - d, k + d) if 0 <= j < len(place) and place[j] >= 0), -1)
+                if near >= 0:
+                    rows.append((key, site, k + 1, out[near], 0, -1))
+        columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _ALIGNED.split(", ")])
 
 
 def page_lines(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
-    """``(artifact_id, line_no, outside)`` for every line of the extracted texts of pages.
+    """``(artifact_id, line_no, outside, block)`` for every line of the extracted texts of pages.
 
-    Lines are counted from 1.  Of several results for an artifact the latest
+    Lines are counted from 1; ``block`` is the place of the page's block that the
+    line shows, or -1.  Of several results for an artifact the latest
     counts; null texts have no lines, and texts whose artifact is missing or
     holds no markup have no furniture and give no row.
     """
@@ -229,23 +211,47 @@ def page_lines(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
     recurring = seen.where(F.col("n") >= often).select("prompt", F.lit(True).alias("recurs"))
     # A site's own prompts are judged by its own pages, whatever the corpus holds.
     site_pages = stored.where("site is not null").groupBy("site").agg(F.countDistinct("artifact_id").alias("site_pages"))
-    local = stored.where("prompt <> 0 and site is not null").groupBy("site", "prompt").agg(F.countDistinct("artifact_id").alias("n")).where(F.col("n") >= PROMPT_PAGES)
+    local = stored.where("prompt <> 0 and site is not null").groupBy("site", "prompt").agg(F.countDistinct("artifact_id").alias("n")).where(F.col("n") >= SITE_PAGES)
     local = local.join(site_pages, "site").where(F.col("n") / F.col("site_pages") >= SITE_SHARE).select("site", "prompt", F.lit(True).alias("recurs_here"))
     possible = stored.where("prompt <> 0").join(F.broadcast(recurring), "prompt", "left").join(local, ["site", "prompt"], "left")
     recurs = F.coalesce("recurs", "recurs_here", F.lit(False))
-    judged = possible.select("artifact_id", "line_no", (F.col("outside") | recurs).alias("outside"))
-    return stored.where("prompt = 0").select("artifact_id", "line_no", "outside").unionByName(judged)
+    judged = possible.select("artifact_id", "line_no", (F.col("outside") | recurs).alias("outside"), "block")
+    return stored.where("prompt = 0").select("artifact_id", "line_no", "outside", "block").unionByName(judged)
+
+
+BODIES = "artifact_id string, main_body string, body_lines int, furniture_lines int"
+
+
+def _render_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32()]
+    for batch in _few_at_once(batches):
+        rows = []
+        for key, text, data, kind, kept, unplaced, cut in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            lines = text.split("\n")
+            out = set(cut or ())
+            plain = [x for k, x in enumerate(lines, 1) if k not in out]
+            body = "\n".join(plain)
+            if kept and not unplaced and data is not None:
+                body = render(parse(decode(data, kind)), set(kept))
+            rows.append((key, body, len(plain), len(lines) - len(plain)))
+        columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in BODIES.split(", ")])
 
 
 def main_bodies(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
     """``(artifact_id, main_body, body_lines, furniture_lines)``: each page's main body.
 
-    One row for each artifact with a text; a text without furniture is kept whole.
+    One row for each artifact with a text.  The blocks of the body are rendered
+    with blank lines between them, list marks and aligned table cells.  A text
+    without markup is kept whole, and one with a kept line that no block of its
+    page shows loses its furniture lines only.
     """
-    cut = page_lines(artifacts, extractions).where("outside").groupBy("artifact_id").agg(F.collect_set("line_no").alias("cut"))
-    latest = extractions.where("artifact_id is not null and canonical_text is not null").groupBy("artifact_id").agg(F.max(F.struct("created_at", "canonical_text")).alias("r"))
-    joined = latest.select("artifact_id", F.split("r.canonical_text", "\n").alias("lines")).join(cut, "artifact_id", "left")
-    kept = F.when(F.col("cut").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda _, i: ~F.array_contains("cut", (i + 1).cast("long"))))
-    return joined.withColumn("kept", kept).select(
-        "artifact_id", F.array_join("kept", "\n").alias("main_body"), F.size("kept").alias("body_lines"), (F.size("lines") - F.size("kept")).alias("furniture_lines")
+    block = F.when(~F.col("outside"), F.col("block"))
+    # Bounded by the lines of one page.
+    judged = page_lines(artifacts, extractions).groupBy("artifact_id").agg(
+        F.collect_set(F.when(block >= 0, block)).alias("kept"), F.coalesce(F.bool_or(block < 0), F.lit(False)).alias("unplaced"), F.collect_set(F.when(F.col("outside"), F.col("line_no"))).alias("cut")
     )
+    latest = extractions.where("artifact_id is not null and canonical_text is not null").groupBy("artifact_id").agg(F.max(F.struct("created_at", "canonical_text")).alias("r"))
+    pages = artifacts.where("artifact_id is not null").groupBy("artifact_id").agg(F.min(F.struct("raw_data", "content_type")).alias("p"))
+    joined = latest.select("artifact_id", "r.canonical_text").join(judged, "artifact_id", "left").join(pages, "artifact_id", "left")
+    return joined.select("artifact_id", "canonical_text", "p.raw_data", "p.content_type", "kept", F.coalesce("unplaced", F.lit(True)).alias("unplaced"), "cut").mapInArrow(_render_rows, BODIES)

@@ -47,7 +47,6 @@ class Element:
     tag: str
     parent: Element | None
     number: int
-    hint: str = ""  # id, class and role
     shown: bool = True
 
 
@@ -154,15 +153,13 @@ class _Builder:
         if tag in VOID or closed and tag not in RAW:
             return
         top = self.open[-1]
-        hint, shown = "", top.shown and tag not in UNSEEN
-        if attributes and not attributes.isspace():
+        shown = top.shown and tag not in UNSEEN
+        if shown and attributes and not attributes.isspace():
             for m in _ATTRIBUTE.finditer(attributes):
                 name = m[1].lower()
-                if name in ("id", "class", "role"):
-                    hint += f" {m[2] or m[3] or m[4] or ''}"
-                elif name == "hidden" or name == "style" and _HIDING.search(m[2] or m[3] or m[4] or ""):
+                if name == "hidden" or name == "style" and _HIDING.search(m[2] or m[3] or m[4] or ""):
                     shown = False
-        element = Element(tag, top, len(self.page.elements), hint.strip().lower(), shown)
+        element = Element(tag, top, len(self.page.elements), shown)
         self.page.elements.append(element)
         self.open.append(element)
         if tag == "a" and shown:
@@ -228,8 +225,11 @@ def parse(text: str) -> Page:
     return builder.page
 
 
-def render(page: Page) -> str:
-    """Visible text with blank lines between blocks, list marks and aligned table cells."""
+def render(page: Page, kept: set[int] | None = None) -> str:
+    """Visible text with blank lines between blocks, list marks and aligned table cells.
+
+    ``kept`` names the blocks to show by their places; all of them if none are named.
+    """
     out: list[str] = []
     table: list[list[str]] = []
     row: Element | None = None
@@ -239,7 +239,9 @@ def render(page: Page) -> str:
         out.extend("  ".join(c.ljust(width[i]) for i, c in enumerate(r)).rstrip() for r in table)
         table.clear()
 
-    for block in page.blocks:
+    for place, block in enumerate(page.blocks):
+        if kept is not None and place not in kept:
+            continue
         chain = page.chain(block)
         own = next((e for e in reversed(chain) if e.tag == "tr"), None)
         if own is not None and block.element.tag in _CELL:

@@ -146,14 +146,19 @@ def test_page_tree():
 
 def test_main_body(spark):
     lines = [b.text for b in pages.parse(PAGE).blocks]
-    artifacts = spark.createDataFrame([("p", bytearray(PAGE.encode()), None), ("t", bytearray(b"plain"), None), ("n", None, None), (None, bytearray(b"<p>x"), None)], "artifact_id string, raw_data binary, content_type string")
-    results = [("p", "\n".join(lines), None)] * 2 + [("t", "plain", None), ("n", None, None), ("gone", "text", None), (None, "x", None)]
+    # The prompt recurs on other pages, whose own paragraphs differ.
+    others = {f"o{i}": PAGE.replace("First paragraph", f"Paragraph {chr(97 + i) * 3}").replace("See also: another story", f"See {i}") for i in range(5)}
+    artifacts = spark.createDataFrame([(k, bytearray(x.encode()), None) for k, x in others.items()] + [("p", bytearray(PAGE.encode()), None), ("t", bytearray(b"plain"), None), ("n", None, None), (None, bytearray(b"<p>x"), None)], "artifact_id string, raw_data binary, content_type string")
+    results = [(k, "\n".join(b.text for b in pages.parse(x).blocks), None) for k, x in others.items()] + [("p", "\n".join(lines), None)] * 2 + [("t", "plain", None), ("n", None, None), ("gone", "text", None), (None, "x", None)]
     extractions = spark.createDataFrame(results, "artifact_id string, canonical_text string, created_at timestamp")
     found = {(r.artifact_id, r.line_no) for r in mainbody.page_lines(artifacts, extractions).where("outside").collect()}
     kept = [x for i, x in enumerate(lines, 1) if ("p", i) not in found]
     assert kept == ["Head line", "By Someone", "First paragraph of the story, with some words.", "one", "two", "a", "bb", "ccc", "d"]
-    bodies = {r.artifact_id: r.main_body for r in mainbody.main_bodies(artifacts, extractions).collect()}
-    assert bodies == {"p": "\n".join(kept), "t": "plain", "gone": "text"}
+    bodies = {r.artifact_id: r.main_body for r in mainbody.main_bodies(artifacts, extractions).collect() if r.artifact_id not in others}
+    body = "Head line\n\nBy Someone\n\nFirst paragraph of the story, with some words.\n- one\n- two\na    bb\nccc  d"
+    assert bodies == {"p": body, "t": "plain", "gone": "text"}
+    alone = mainbody.main_bodies(artifacts, spark.createDataFrame([("p", "\n".join([*lines[:7], "No block shows this", *lines[7:]]), None)], "artifact_id string, canonical_text string, created_at timestamp")).first()
+    assert alone.main_body.split("\n")[:2] == ["Head line", "By Someone"] and alone.body_lines + alone.furniture_lines == len(lines) + 1
     assert mainbody.page_lines(artifacts.limit(0), extractions).count() == 0
 
 
