@@ -110,7 +110,7 @@ def main(arguments: list[str] | None = None) -> int:
         return 2
     statistics = n | validate.export_statistics(records).first().asDict()
     manifest = validate.manifest(spec, state.id, n, validate.record_checksum(records), report)
-    export.export_package(a.out, records, decisions, state.id, manifest, statistics, report, str(spec.get("output", "format", "jsonl")))
+    export.export_package(a.out, records, decisions, state.id, manifest, statistics, report, str(spec.get("output", "format", "jsonl")), spec)
     return 0
 
 

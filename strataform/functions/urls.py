@@ -56,7 +56,11 @@ def private_address(url: Column, domains: list[str] = ()) -> Column:
         a.isin(0, 10, 127) | (a >= 224) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31)) | ((a == 192) & (b == 168))
         | ((a == 192) & (b == 0) & c.isin(0, 2)) | ((a == 198) & b.isin(18, 19)) | ((a == 198) & (b == 51) & (c == 100)) | ((a == 203) & (b == 0) & (c == 113)) | ((a == 100) & b.between(64, 127))
     )
-    return F.coalesce(literal & special, F.lit(False)) & ~domain_allowed(url, list(domains))
+    # Literals of version 6: unspecified, loopback, unique local, link-local, multicast, documentation and mapped ones.
+    six = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?\[([0-9A-Fa-f:.]+)\]", 1))
+    special_six = six.rlike(r"^(?:[0:]*:[01]?$|f[cd][0-9a-f]{2}:|fe[89ab][0-9a-f]:|ff[0-9a-f]{2}:|2001:0?db8:|[0:]*:ffff:)")
+    listed = six.isin([d.strip().lower().strip("[]") for d in domains]) if domains else F.lit(False)
+    return F.coalesce(literal & special, F.lit(False)) & ~domain_allowed(url, list(domains)) | F.coalesce(special_six, F.lit(False)) & ~listed
 
 
 def main_type(content_type: Column) -> Column:

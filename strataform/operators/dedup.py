@@ -427,28 +427,49 @@ def representatives(members: DataFrame) -> DataFrame:
     return best.select("group_id", F.col("r.doc_id").alias("doc_id"), basis.alias("selection_basis"))
 
 
-def memberships(documents: DataFrame, mode: str = "near", threshold: float = THRESHOLD) -> DataFrame:
+def memberships(documents: DataFrame, mode: str = "near", threshold: float = THRESHOLD, texts: DataFrame | None = None) -> DataFrame:
     """``(tier, group_id, doc_id)`` by tier.
 
-    ``documents(doc_id, text, raw_checksum, normalized_checksum)``; ``exact``
-    gives the first tier, ``normalized`` the first two, ``near`` all.  Documents
-    of an exact group take no part in the near tier.
+    ``documents(doc_id, text, raw_checksum, normalized_checksum)``, or with
+    ``has_text`` in place of the text and ``texts(doc_id, text)`` beside it, which
+    is read for the near tier only; ``exact`` gives the first tier,
+    ``normalized`` the first two, ``near`` all.  Documents of an exact group take
+    no part in the near tier; those without a text take part in the first alone.
     """
     none = documents.select(F.lit("").alias("tier"), F.col("doc_id").alias("group_id"), "doc_id").where("false")
     if mode == "none":
         return none
-    # Checksums are costly to derive and cheap to keep; texts are not kept.
-    narrow = store(documents.select("doc_id", F.col("text").isNotNull().alias("has_text"), "raw_checksum", "normalized_checksum"), "checksums").df
+    if texts is None:
+        texts = documents.select("doc_id", "text")
+        # Checksums are costly to derive and cheap to keep; texts are not kept.
+        documents = store(documents.select("doc_id", F.col("text").isNotNull().alias("has_text"), "raw_checksum", "normalized_checksum"), "checksums").df
+    narrow = documents.select("doc_id", "has_text", "raw_checksum", "normalized_checksum")
     found = exact_memberships(narrow, "raw_checksum", TIERS[0])
     if mode in ("normalized", "near"):
         found = found.unionByName(exact_memberships(narrow.where("has_text"), "normalized_checksum", TIERS[1]))
     if mode == "near":
-        found = store(found, "exact-members").df
-        rest = documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+        exact = store(found, "exact-members")
+        found = exact.df
+        taken = found.select("doc_id").distinct()
+        rest = texts.join(F.broadcast(taken) if exact.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES else taken, "doc_id", "left_anti")
         found = found.unionByName(similar_classes(rest, threshold=threshold).select(F.lit(TIERS[2]).alias("tier"), "group_id", "doc_id"))
     return found
 
 
+def result_counts(members: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row: documents, those skipped for want of a text with their warning, and groups and members of each tier.
+
+    ``documents(doc_id, has_text)``; texts that are null or empty are skipped by
+    the near tier.
+    """
+    sizes = members.groupBy("tier", "group_id").agg(F.count("*").alias("n"))
+    of = lambda tier, value: F.coalesce(F.sum(F.when(F.col("tier") == tier, value)), F.lit(0)).cast("long")
+    groups = sizes.agg(*[of(t, F.lit(1)).alias(f"{t}_groups") for t in TIERS], *[of(t, F.col("n")).alias(f"{t}_members") for t in TIERS])
+    n, skipped = F.count("*").alias("total_documents"), F.count_if(~F.coalesce("has_text", F.lit(False))).alias("documents_skipped")
+    warning = F.when(F.col("documents_skipped") > 0, F.concat(F.col("documents_skipped").cast("string"), F.lit(" documents skipped (no normalized text)")))
+    return documents.agg(n, skipped).withColumn("warning", warning).crossJoin(groups)
+
+
 def keep_first(documents: DataFrame, checksum: str, order: list[str]) -> DataFrame:
     """The first row of each checksum in an order; rows without a checksum are all kept."""
     columns = [c for c in documents.columns if c != checksum]

@@ -36,6 +36,19 @@ def availability(artifacts: DataFrame) -> DataFrame:
     )
 
 
+def artifact_states(artifacts: DataFrame, characteristics: DataFrame) -> DataFrame:
+    """``(artifact_id, availability)`` with all five states.
+
+    Besides those of ``availability``: characterization_failed where an available
+    payload has no characteristics, unsupported where they name no format.
+    """
+    known = characteristics.select("artifact_id", "detected_format", F.lit(True).alias("known"))
+    joined = availability(artifacts).join(known, "artifact_id", "left")
+    there = F.col("availability") == "available"
+    state = F.when(there & F.col("known").isNull(), "characterization_failed").when(there & F.col("detected_format").isNull(), "unsupported").otherwise(F.col("availability"))
+    return joined.select("artifact_id", state.alias("availability"))
+
+
 def size_bucket(size: Column) -> Column:
     """The size class of a byte count; a missing count counts as 0."""
     n = F.coalesce(size, F.lit(0))

@@ -10,12 +10,15 @@ that language.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataform.runtime import store, trimmed
+
 #: Languages in the order in which ties go.
 NAMES = {"en": "English", "es": "Spanish", "fr": "French", "de": "German", "pt": "Portuguese", "it": "Italian", "nl": "Dutch"}
 #: Pairs of a profile.
@@ -25,6 +28,14 @@ HIGH, MEDIUM = 0.5, 0.15
 Profiles = dict[str, dict[str, float]]
 
 
+def label_code(label: Column) -> Column:
+    """The code of a label given as a code, a region form of it or an English name, whatever its case; null for others."""
+    flat = F.lower(trimmed(label))
+    names = F.create_map(*[F.lit(x) for code, name in NAMES.items() for x in (name.lower(), code)])
+    coded = F.nullif(F.regexp_extract(flat, f"^({'|'.join(NAMES)})(?:[-_].*)?$", 1), F.lit(""))
+    return F.coalesce(F.try_element_at(names, flat), coded)
+
+
 def pair_counts(documents: DataFrame, by: str, text: str = "text") -> DataFrame:
     """``(by, pair, n)``: letter pairs counted for each value of a column."""
     letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", "")
@@ -33,20 +44,20 @@ def pair_counts(documents: DataFrame, by: str, text: str = "text") -> DataFrame:
 
 
 def learn_profiles(documents: DataFrame, label: str = "lang", text: str = "text") -> Profiles:
-    """The profile of each language from all texts labelled with its code.
+    """The profile of each language from all texts labelled with it in any form of ``label_code``.
 
     Weights are percentages of a language's pairs, to four places.  What is
     collected is at most ``PROFILE_PAIRS`` rows for each language.
     """
-    known = documents.where(F.col(label).isin(*NAMES))
-    counts = pair_counts(known, label, text)
-    total = counts.groupBy("by").agg(F.sum("n").alias("total"))
-    # The top pairs of a language through one bounded aggregate, without a sort.
-    top = counts.groupBy("by").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "pair"))), 1, PROFILE_PAIRS).alias("top"))
-    rows = top.join(total, "by").select("by", F.inline("top"), "total").collect()
+    known = documents.select(label_code(F.col(label)).alias("code"), text).where("code is not null")
+    counts = store(pair_counts(known, "code", text), "pairs")
+    total = {r.by: r.total for r in counts.df.groupBy("by").agg(F.sum("n").alias("total")).collect()}
+    # A top-k for each language keeps so many rows a task, however many pairs there are.
+    top = [counts.df.where(F.col("by") == code).orderBy(F.desc("n"), "pair").limit(PROFILE_PAIRS) for code in NAMES]
     out: Profiles = {code: {} for code in NAMES}
-    for r in rows:
-        out[r.by][r.pair] = int(-r.less * 1_000_000 // r.total) / 10_000
+    for r in reduce(DataFrame.unionByName, top).collect():
+        out[r.by][r.pair] = int(r.n * 1_000_000 // total[r.by]) / 10_000
+    counts.drop()
     return {code: p for code, p in out.items() if p}
 
 

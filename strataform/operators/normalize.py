@@ -33,12 +33,13 @@ def _steps() -> list[tuple[str, object]]:
     ]
 
 
-def normalize(documents: DataFrame, text: str = "text") -> DataFrame:
+def normalize(documents: DataFrame, text: str = "text", most: int | None = MAX_CHARACTERS) -> DataFrame:
     """Add normalized_text, normalized_checksum, normalization_operations and content_changed.
 
     The steps run in a fixed order: composition, line ends, trailing blanks,
     control characters, final newline; those that changed the text are named.
-    Null texts stay null and empty ones empty, unchanged.
+    Null texts stay null and empty ones empty, unchanged.  ``most`` characters of
+    the text are kept, all of them if None; the checksum is that of the whole.
     """
     df = documents.withColumn("_t0", F.when(F.col(text).rlike(r"[^\x00-\x7f]"), compose(F.col(text))).otherwise(F.col(text)))
     for i, (_, step) in enumerate(_steps()):
@@ -50,7 +51,7 @@ def normalize(documents: DataFrame, text: str = "text") -> DataFrame:
     return (
         df.withColumn("normalization_operations", F.array_compact(F.array(*done)))
         .withColumn("normalized_checksum", F.sha2(last, 256))
-        .withColumn("normalized_text", F.substring(last, 1, MAX_CHARACTERS))
+        .withColumn("normalized_text", last if most is None else F.substring(last, 1, most))
         .withColumn("content_changed", F.size("normalization_operations") > 0)
         .drop(*[f"_t{i}" for i in range(len(names))])
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import math
 import xml.etree.ElementTree as ET
 
 import pandas as pd
@@ -111,31 +112,57 @@ def quality_score(character_count: Column) -> Column:
     return F.least(F.coalesce(character_count, F.lit(0)) / FULL_SCORE, F.lit(1.0))
 
 
-@F.pandas_udf(T.StructType([T.StructField("items", T.LongType()), T.StructField("empty", T.LongType()), T.StructField("detail", T.StringType())]))
+SIGNALS = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("items", "nulls", "empty")] + [T.StructField(n, T.LongType()) for n in ("columns", "rows")] + [T.StructField("null_ratio", T.DoubleType()), T.StructField("empty_ratio", T.DoubleType()), T.StructField("root", T.StringType()), T.StructField("has_attributes", T.BooleanType())]
+)
+
+
+def _ratio(part: int, whole: int) -> float:
+    return math.floor(part / whole * 10000 + 0.5) / 10000 if whole else 0.0
+
+
+def _json_signals(text: str) -> dict:
+    data = json.loads(text)
+    if isinstance(data, list):
+        return {"items": len(data)}
+    values = list(data.values()) if isinstance(data, dict) else []
+    nulls, empty = sum(v is None for v in values), sum(isinstance(v, str) and not v for v in values)
+    return {"items": len(values), "nulls": nulls, "empty": empty, "null_ratio": _ratio(nulls, len(values)), "empty_ratio": _ratio(empty, len(values))}
+
+
+def _csv_signals(text: str) -> dict:
+    header, *body = list(csv.reader(io.StringIO(text))) or [[]]
+    cells, empty = len(body) * len(header), sum(not c.strip() for row in body for c in row)
+    return {"items": cells, "empty": empty, "columns": len(header), "rows": len(body), "empty_ratio": _ratio(empty, cells)}
+
+
+def _xml_signals(text: str) -> dict:
+    root = ET.fromstring(text)
+    bare = sum(not (child.text or "").strip() for child in root)
+    return {"items": len(root), "empty": bare, "empty_ratio": _ratio(bare, len(root)), "root": root.tag, "has_attributes": bool(root.attrib)}
+
+
+_READ = {"json": _json_signals, "csv": _csv_signals, "xml": _xml_signals}
+
+
+@F.pandas_udf(SIGNALS)
 def format_signals(fmt: pd.Series, text: pd.Series) -> pd.DataFrame:
-    """Items and empty ones of structured text: fields of JSON, cells of CSV, elements of XML.
+    """Signals of structured text by its format.
 
-    JSON arrays, other formats and unreadable text have none.
+    JSON: fields of an object with the null and the empty ones, items of a list.
+    CSV: columns, rows and cells of the body with the empty ones.  XML: the root,
+    whether it has attributes, and its children with those without text.  Other
+    formats and text that cannot be read have nulls throughout.
     """
 
-    def one(kind: str | None, t: str | None) -> tuple[int, int, str | None]:
+    def one(kind: str | None, t: str | None) -> dict:
         try:
-            if kind == "json":
-                data = json.loads(t or "")
-                if not isinstance(data, dict):
-                    return 0, 0, "json"
-                return len(data), sum(v is None or v == "" for v in data.values()), "json"
-            if kind == "csv":
-                cells = [c for row in list(csv.reader(io.StringIO(t or "")))[1:] for c in row]
-                return len(cells), sum(not c.strip() for c in cells), "csv"
-            if kind == "xml":
-                nodes = list(ET.fromstring(t or "").iter())
-                return len(nodes), sum(not (e.text or "").strip() and not len(e) for e in nodes), "xml"
+            return _READ[kind](t or "") if kind in _READ else {}
         except (ValueError, ET.ParseError, csv.Error, RecursionError):
-            return 0, 0, kind
-        return 0, 0, None
+            return {}
 
-    return pd.DataFrame([one(k, t) for k, t in zip(fmt, text, strict=True)], columns=["items", "empty", "detail"])
+    rows = [one(k, t) for k, t in zip(fmt, text, strict=True)]
+    return pd.DataFrame({f.name: pd.array([r.get(f.name) for r in rows], {"bigint": "Int64", "double": "Float64", "boolean": "boolean"}.get(f.dataType.simpleString(), "object")) for f in SIGNALS.fields})
 
 
 def html_signals(extracted: DataFrame, raw_characters: str = "raw_characters") -> DataFrame:

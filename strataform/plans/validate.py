@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,7 @@ def checks(records: DataFrame, spec: Specification, considered: int, accepted: i
     """
     low, high = spec.get("content", "minimum_characters"), spec.get("content", "maximum_characters")
     least = spec.get("quality", "minimum_score")
-    allowed = {str(x).lower() for x in spec.get("source", "allowed_languages", [])}
-    allowed |= {c for c, n in NAMES.items() if n.lower() in allowed} | {n.lower() for c, n in NAMES.items() if c in allowed}
+    allowed = _allowed(spec)
     size = F.length("text")
     any_of = lambda names: F.count_if(_or([_missing(n) for n in names]))
     outside = (F.coalesce(size < low, F.lit(False)) if low is not None else F.lit(False)) | (F.coalesce(size > high, F.lit(False)) if high is not None else F.lit(False))
@@ -64,6 +64,38 @@ def checks(records: DataFrame, spec: Specification, considered: int, accepted: i
     return total.select(F.inline(F.array(*out)))
 
 
+#: Offending records that a report names for each check, at most.
+MOST_DETAILS = 20
+
+
+def offenders(records: DataFrame, spec: Specification, most: int = MOST_DETAILS) -> DataFrame:
+    """``(check, record_id)``: the first offending records of each check on records, by id.
+
+    At most ``most`` for each check; the counts of ``checks`` are whole.
+    """
+    low, high = spec.get("content", "minimum_characters"), spec.get("content", "maximum_characters")
+    least, allowed, size = spec.get("quality", "minimum_score"), _allowed(spec), F.length("text")
+    tests = {
+        "schema_validity": _or([_missing(n) for n in REQUIRED]),
+        "required_fields": _or([_missing(n) for n in LINEAGE]),
+        "language_compliance": F.col("language").isNotNull() & ~F.lower("language").isin(sorted(allowed)) if allowed else None,
+        "quality_compliance": F.col("quality_score") < float(least) if least is not None else None,
+        "content_length": (size < low if low is not None else F.lit(False)) | (size > high if high is not None else F.lit(False)),
+        "provenance_completeness": _or([_missing(n) for n in PROVENANCE]),
+    }
+    key = F.col("normalized_record_id").cast("string").alias("record_id")
+    parts = [records.where(bad).select(F.lit(name).alias("check"), key).orderBy("record_id").limit(most) for name, bad in tests.items() if bad is not None]
+    copies = records.where("normalized_record_id is not null").groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    parts.append(copies.select(F.lit("duplicate_leakage").alias("check"), "record_id").orderBy("record_id").limit(most))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _allowed(spec: Specification) -> set[str]:
+    """The allowed languages by name and code, in lower case."""
+    allowed = {str(x).lower() for x in spec.get("source", "allowed_languages", [])}
+    return allowed | {c for c, n in NAMES.items() if n.lower() in allowed} | {n.lower() for c, n in NAMES.items() if c in allowed}
+
+
 def _or(tests: list[Column]) -> Column:
     out = tests[0]
     for t in tests[1:]:
@@ -79,14 +111,25 @@ def roll_up(found: DataFrame) -> DataFrame:
     return n.select(pick("fail", "warn", "pass").alias("status"), pick("invalid", "warnings", "valid").alias("overall_status"), "error_count", "warning_count", "info_count")
 
 
-def record_checksum(records: DataFrame) -> dict:
-    """Number and hash of the record set: of the JSON list of its ids in order, as strings.
+def record_checksum(records: DataFrame, serial: bool = False) -> dict:
+    """Number and hash of the record set, whatever its order.
 
-    The ids are sorted by Spark and streamed one partition at a time through the
-    hash, so neither a task nor the driver ever holds them all.
+    By default a tree: the ids fall into runs by their own hash, a run is hashed
+    whole by the executors, and the hash of the runs' hashes in order is the
+    result, so the driver sees 4,096 rows at most.  ``serial`` hashes the JSON
+    list of all ids in order, as strings; that needs a global sort and one stream
+    through the driver.
     """
+    ids = records.select(F.col("normalized_record_id").cast("string").alias("id"))
+    if not serial:
+        # An id's own 256-bit hash is added by quarters, so a run is no list in memory.
+        parts = [F.conv(F.substring(F.sha2("id", 256), 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)") for i in range(8)]
+        run = F.conv(F.substring(F.sha2("id", 256), 1, 3), 16, 10).cast("int")
+        rows = ids.groupBy(run.alias("run")).agg(F.count("*").alias("n"), F.concat_ws(",", *[F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in parts]).alias("sums")).orderBy("run").collect()
+        digest = hashlib.sha256("\n".join(f"{r.run}:{r.n}:{r.sums}" for r in rows).encode()).hexdigest()
+        return {"canonical_record_count": sum(r.n for r in rows), "sha256": digest}
     digest, n = hashlib.sha256(b"["), 0
-    for row in records.select(F.col("normalized_record_id").cast("string").alias("id")).orderBy("id").toLocalIterator():
+    for row in ids.orderBy("id").toLocalIterator():
         digest.update((", " if n else "").encode() + json.dumps(str(row.id)).encode())
         n += 1
     digest.update(b"]")

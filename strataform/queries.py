@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataform.functions import urls
@@ -46,7 +46,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 def _checked(spark: SparkSession, d: str) -> DataFrame:
     """Documents with the checksums of their texts as they are and normalized."""
-    known = normalize.normalize(_documents(spark, d).where("text is not null"))
+    known = normalize.normalize(_documents(spark, d))
     return known.select("doc_id", "text", F.sha2("text", 256).alias("raw_checksum"), "normalized_checksum")
 
 
@@ -104,6 +104,12 @@ def any_reference_lookup(spark: SparkSession, d: str) -> DataFrame:
     return catalog.find_any(_table(spark, d, "dedup_documents").select("document_id", *keys).distinct(), wanted, keys).select("document_id")
 
 
+@query
+def candidate_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = catalog.candidate_scan(_table(spark, d, "extraction_results"), _table(spark, d, "artifacts"), _table(spark, d, "resources"))
+    return found.select("artifact_id", "extraction_status", "artifact_url", "content_type", "size_bytes", "resource_id")
+
+
 @query
 def latest_documents(spark: SparkSession, d: str) -> DataFrame:
     return catalog.latest(_table(spark, d, "dedup_documents").select("document_id", "quality_score", "warning_count", "updated_at"), "document_id", "updated_at").select("document_id", "warning_count")
@@ -164,6 +170,11 @@ def artifact_availability(spark: SparkSession, d: str) -> DataFrame:
     return inventory.availability(_table(spark, d, "artifacts"))
 
 
+@query
+def artifact_states(spark: SparkSession, d: str) -> DataFrame:
+    return inventory.artifact_states(*_characterized(spark, d))
+
+
 @query
 def inventory_distributions(spark: SparkSession, d: str) -> DataFrame:
     return inventory.distributions(*_characterized(spark, d))
@@ -237,16 +248,39 @@ def html_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.html_signals(pages).select("artifact_id", "extracted_ratio", "link_density")
 
 
+def _signals(rows: DataFrame, key: str, fmt: str, text: Column, *names: str) -> DataFrame:
+    return rows.select(key, quality.format_signals(F.lit(fmt), text).alias("s")).select(key, *[f"s.{n}" for n in names])
+
+
 @query
 def structured_signals(spark: SparkSession, d: str) -> DataFrame:
     rows = _table(spark, d, "extraction_results").select("artifact_id", "structured_data").distinct()
-    found = quality.format_signals(F.lit("json"), F.coalesce("structured_data", F.lit("")))
-    return rows.withColumn("s", found).select("artifact_id", "s.items", "s.empty")
+    return _signals(rows, "artifact_id", "json", F.col("structured_data"), "items", "nulls", "empty", "null_ratio", "empty_ratio")
+
+
+@query
+def csv_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Resources as delimited files of one row."""
+    rows = _table(spark, d, "resources").select("id", "domain", "resource_type", "discovered_from").distinct()
+    cell = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    text = F.concat(F.lit("domain,resource_type,discovered_from\n"), F.concat_ws(",", *[cell(F.col(c)) for c in ("domain", "resource_type", "discovered_from")]))
+    return _signals(rows, "id", "csv", text, "columns", "rows", "items", "empty", "empty_ratio").distinct()
+
+
+@query
+def xml_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Resources as documents with an element for each field that is there."""
+    rows = _table(spark, d, "resources").select("id", "domain", "resource_type").distinct()
+    safe = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    part = lambda c: F.coalesce(F.concat(F.lit(f"<{c}>"), safe(c), F.lit(f"</{c}>")), F.lit(""))
+    text = F.concat(F.lit('<resource kind="row">'), part("domain"), part("resource_type"), F.lit("<note/></resource>"))
+    return _signals(rows, "id", "xml", text, "root", "has_attributes", "items", "empty", "empty_ratio").distinct()
 
 
 @query
 def language_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return language.pair_counts(_documents(spark, d).where(F.col("lang").isin(*language.NAMES)), "lang").select(F.col("by").alias("lang"), "pair", "n")
+    rows = _documents(spark, d).withColumn("code", language.label_code(F.col("lang"))).where("code is not null")
+    return language.pair_counts(rows, "code").select(F.col("by").alias("lang"), "pair", "n")
 
 
 @query
@@ -273,6 +307,13 @@ def normalized_exact_groups(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_groups(_checked(spark, d), "normalized_checksum")
 
 
+@query
+def raw_reference_groups(spark: SparkSession, d: str) -> DataFrame:
+    """References with the same raw checksum, with a text or without."""
+    rows = catalog.latest(_table(spark, d, "dedup_documents").select("document_id", "raw_checksum", "updated_at"), "document_id", "updated_at")
+    return dedup.exact_groups(rows, "raw_checksum", "document_id")
+
+
 @query
 def trigram_counts(spark: SparkSession, d: str) -> DataFrame:
     return dedup.shingled(_documents(spark, d)).select("doc_id", F.col("n").cast("long").alias("trigrams"))
@@ -329,6 +370,12 @@ def tiered_memberships(spark: SparkSession, d: str) -> DataFrame:
     return dedup.memberships(_checked(spark, d), "near")
 
 
+@query
+def dedup_result(spark: SparkSession, d: str) -> DataFrame:
+    rows = _checked(spark, d)
+    return dedup.result_counts(dedup.memberships(rows, "normalized"), rows.select("doc_id", (F.col("text") != "").alias("has_text")))
+
+
 @query
 def representatives(spark: SparkSession, d: str) -> DataFrame:
     rows = store(_checked(spark, d), "checked").df
@@ -377,6 +424,32 @@ def build_decisions(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "decision", F.array_join("reason_codes", ",").alias("reasons"))
 
 
+@query
+def decision_records(spark: SparkSession, d: str) -> DataFrame:
+    spec = Specification(SPEC)
+    rows = export.decision_rows(build.decide(_corpus(spark, d), spec), "build", spec)
+    asked = ["minimum_characters", "maximum_characters", "minimum_score", "deduplication_mode", "similarity_threshold", "maximum_records", "minimum_records"]
+    measured = ["character_count", "language", "quality_score", "detected_format", "normalized_checksum", "extraction_status", "size_bytes"]
+    listed = [F.array_join(f"thresholds.{c}", ",").alias(c) for c in ("allowed_formats", "allowed_languages")]
+    return rows.select("record_id", "decision", F.array_join("reason_codes", ",").alias("reasons"), *[f"actual_values.{c}" for c in measured], *listed, *[f"thresholds.{c}" for c in asked])
+
+
+@query
+def stored_build_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """A build over document references with the groups of duplicate_memberships, the least id of each standing for it."""
+    rows = catalog.latest(_table(spark, d, "dedup_documents").drop("canonical_document_id", "artifact_id", "normalized_document_id"), "document_id", "updated_at")
+    corpus = rows.select(
+        F.col("document_id").alias("doc_id"), "normalized_text", "raw_checksum", "normalized_checksum", "canonical_checksum", (F.col("quality_score") * 1000).alias("character_count"), "warning_count", "source_url",
+        F.lit("html").alias("detected_format"), F.lit(None).cast("string").alias("source_mime_type"), F.lit("English").alias("language"),
+    )
+    members = _table(spark, d, "duplicate_memberships").withColumn("member", F.coalesce("normalized_document_id", "canonical_document_id", "artifact_id"))
+    first = members.groupBy("group_id").agg(F.min("member").alias("first"))
+    marked = members.join(first, "group_id").withColumn("is_representative", F.col("member") == F.col("first"))
+    spec = Specification({"dataset": {"name": "stored", "version": 1}, "content": {"minimum_characters": 20}})
+    found = build.decide(corpus, spec, build.stored_groups(marked))
+    return found.select("doc_id", "decision", F.array_join("reason_codes", ",").alias("reasons"), "representative_id")
+
+
 @query
 def rejection_reason_counts(spark: SparkSession, d: str) -> DataFrame:
     return flagship(spark, d)
@@ -410,6 +483,13 @@ def validation_checks(spark: SparkSession, d: str) -> DataFrame:
     return validate.checks(records, spec, n.considered, n.accepted, n.rejected, spec.hash)
 
 
+@query
+def validation_details(spark: SparkSession, d: str) -> DataFrame:
+    """Offending records by a specification stricter than the one of the build."""
+    strict = SPEC | {"content": {"minimum_characters": 400, "maximum_characters": 900}, "source": {"allowed_languages": ["English"]}, "quality": {"minimum_score": 0.9}}
+    return validate.offenders(_built(spark, d)[0], Specification(strict))
+
+
 @query
 def validation_status(spark: SparkSession, d: str) -> DataFrame:
     return validate.roll_up(validation_checks(spark, d))
@@ -417,6 +497,12 @@ def validation_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def manifest_checksum(spark: SparkSession, d: str) -> DataFrame:
+    found = validate.record_checksum(_built(spark, d)[0], serial=True)
+    return spark.createDataFrame([(found["canonical_record_count"], found["sha256"])], "canonical_record_count long, sha256 string")
+
+
+@query
+def manifest_tree_checksum(spark: SparkSession, d: str) -> DataFrame:
     found = validate.record_checksum(_built(spark, d)[0])
     return spark.createDataFrame([(found["canonical_record_count"], found["sha256"])], "canonical_record_count long, sha256 string")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataform.operators.language import NAMES
+from strataform.runtime import BROADCAST_LIMIT_BYTES, store
 
 
 class Catalog:
@@ -28,13 +29,24 @@ def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
 
 
 def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
-    """The last row of each key in an order; nulls come first and ties go by all values."""
+    """The last row of each key in an order; nulls come first and ties go by all values.
+
+    Only keys that stand in several rows are compared and shuffled whole; a key
+    that stands alone is left where it is.  Rows without a key count as one.
+    """
+    counted = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n")).where("n > 1").select("_key")
+    copied = store(counted, "copied-keys")
+    small = copied.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES
+    copies = F.broadcast(copied.df) if small else copied.df
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    single, several = rows.join(copies, same, "left_anti"), rows.join(copies, same, "left_semi")
     rest = [c for c in rows.columns if c != key and c not in order]
     # Columns without an order (maps) ride along and never decide.
     kinds = {f.name: f.dataType.typeName() for f in rows.schema.fields}
     ranked = [c for c in [*order, *rest] if kinds[c] not in ("map", "variant")]
     carried = F.struct(*[c for c in rows.columns if c != key])
-    return rows.groupBy(key).agg(F.max_by(carried, F.struct(*ranked)).alias("r")).select(key, "r.*").select(*rows.columns)
+    picked = several.groupBy(key).agg(F.max_by(carried, F.struct(*ranked)).alias("r")).select(key, "r.*").select(*rows.columns)
+    return single.unionByName(picked)
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,9 +82,29 @@ def find(table: DataFrame, key: str, value: object) -> DataFrame:
 
 
 def find_any(table: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that a value of ``wanted(id)`` names by any of several keys."""
-    named = table.withColumn("_row", F.xxhash64(*keys)).select("_row", *table.columns, F.explode(F.array_compact(F.array(*keys))).alias("id"))
-    return named.join(wanted.select("id").distinct(), "id").dropDuplicates(["_row", *keys]).select(*table.columns)
+    """Rows that a value of ``wanted(id)`` names by any of several keys, each row once.
+
+    Rows that share all their keys are all found, and repeated rows stay repeated.
+    """
+    ids = wanted.where("id is not null").select("id").distinct()
+    unmet, found = table, None
+    for key in keys:
+        # A row found by an earlier key takes no part any more.
+        hit = unmet.join(ids.select(F.col("id").alias(key)), key, "left_semi").select(*table.columns)
+        found = hit if found is None else found.unionByName(hit)
+        unmet = unmet.join(ids.select(F.col("id").alias(key)), key, "left_anti").select(*table.columns)
+    return table.where(F.lit(False)) if found is None else found
+
+
+def candidate_scan(extractions: DataFrame, artifacts: DataFrame, resources: DataFrame) -> DataFrame:
+    """Extraction results with what is known of their artifact and its resource, each result once.
+
+    Results without an artifact, and artifacts without a resource, are kept with nulls.
+    """
+    results = extractions.select("artifact_id", "extraction_status", "detected_format", "canonical_checksum").distinct()
+    payloads = latest(artifacts.where("artifact_id is not null").select("artifact_id", F.col("url").alias("artifact_url"), "content_type", "size_bytes"), "artifact_id")
+    known = latest(resources.where("url is not null").select(F.col("url").alias("artifact_url"), F.col("id").alias("resource_id"), "domain", "last_seen_at"), "artifact_url", "last_seen_at")
+    return results.join(payloads, "artifact_id", "left").join(known.drop("last_seen_at"), "artifact_url", "left")
 
 
 def _language_name(code: Column) -> Column:
@@ -87,7 +119,7 @@ def corpus_view(normalized: DataFrame) -> DataFrame:
     a code's English name and null where the signal is.
     """
     rows = normalized.select(
-        F.col("id").alias("doc_id"), "canonical_document_id", "artifact_id", "source_url", "detected_format", "source_mime_type", "normalized_text", F.col("original_checksum").alias("raw_checksum"),
+        F.col("id").alias("doc_id"), "canonical_document_id", "artifact_id", F.lit(None).cast("string").alias("canonical_checksum"), "source_url", "detected_format", "source_mime_type", "normalized_text", F.col("original_checksum").alias("raw_checksum"),
         "normalized_checksum", "extraction_status", "size_bytes", _language_name(F.col("quality_signals.language.code")).alias("language"),
         F.col("canonical_quality_signals.text_metrics.character_count").alias("character_count"), F.coalesce(F.size("warnings"), F.lit(0)).cast("long").alias("warning_count"), "created_at", "updated_at",
     )

@@ -4,14 +4,29 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataform.plans.spec import Specification
+
 # The fields of exported rows, in order.
 RECORD = ("id", "build_id", "specification_id", "source_record_id", "normalized_record_id", "canonical_record_id", "raw_artifact_id", "source_url", "text", "language", "quality_score", "dedup_group_id", "selection_reason", "created_at")
 DECISION = ("id", "build_id", "record_id", "decision", "reason_codes", "actual_values", "thresholds", "representative_record_id", "source_url", "created_at")
 PROVENANCE = ("record_id", "source_record_id", "normalized_record_id", "canonical_record_id", "raw_artifact_id", "source_url", "language", "quality_score", "selection_reason", "dedup_group_id")
 
+#: Where a specification holds the thresholds of decisions, and their types.
+THRESHOLDS = {
+    "allowed_formats": ("source", "allowed_formats", "array<string>"),
+    "allowed_languages": ("source", "allowed_languages", "array<string>"),
+    "minimum_characters": ("content", "minimum_characters", "long"),
+    "maximum_characters": ("content", "maximum_characters", "long"),
+    "minimum_score": ("quality", "minimum_score", "double"),
+    "deduplication_mode": ("deduplication", "mode", "string"),
+    "similarity_threshold": ("deduplication", "similarity_threshold", "double"),
+    "maximum_records": ("selection", "maximum_records", "long"),
+    "minimum_records": ("selection", "minimum_records", "long"),
+}
+
 
 def _pick(rows: DataFrame, names: tuple[str, ...], renamed: dict[str, str]) -> DataFrame:
     """Fields in a fixed order; those the rows lack are null."""
@@ -27,12 +42,23 @@ def provenance_rows(records: DataFrame) -> DataFrame:
     return _pick(records, PROVENANCE, {"record_id": "id"})
 
 
-def decision_rows(decisions: DataFrame, build_id: str) -> DataFrame:
+def thresholds(spec: Specification | None) -> Column:
+    """What a specification asks for, as one struct; null without one."""
+    fields = []
+    for name, (section, key, kind) in THRESHOLDS.items():
+        value = spec.get(section, key, "none" if name == "deduplication_mode" else None) if spec else None
+        fields.append((F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)).cast(kind).alias(name))
+    return F.struct(*fields)
+
+
+def decision_rows(decisions: DataFrame, build_id: str, spec: Specification | None = None) -> DataFrame:
+    """Decisions with what was measured and what the specification asks for."""
     facts = decisions.select(
         "*",
         F.concat_ws("-", F.lit(build_id), F.col("doc_id").cast("string")).alias("id"),
         F.lit(build_id).alias("build_id"),
-        F.struct(F.col("text_characters").alias("character_count"), "language", "quality_score", "detected_format").alias("actual_values"),
+        F.struct(F.col("text_characters").alias("character_count"), "language", "quality_score", "detected_format", "canonical_checksum", "normalized_checksum", "extraction_status", "size_bytes").alias("actual_values"),
+        thresholds(spec).alias("thresholds"),
     )
     return _pick(facts, DECISION, {"record_id": "doc_id", "representative_record_id": "representative_id"})
 
@@ -59,12 +85,12 @@ def _write_json(spark, document: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(document, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def export_package(folder: str, records: DataFrame, decisions: DataFrame, build_id: str, manifest: dict, statistics: dict, validation: dict | None, fmt: str = "jsonl") -> dict[str, str]:
+def export_package(folder: str, records: DataFrame, decisions: DataFrame, build_id: str, manifest: dict, statistics: dict, validation: dict | None, fmt: str = "jsonl", spec: Specification | None = None) -> dict[str, str]:
     """Write the six parts of a package and name their paths; without a validation a stub says so."""
     spark, root = records.sparkSession, folder.rstrip("/")
     paths = {n: f"{root}/{n}" for n in ("data", "rejected", "provenance", "manifest", "statistics", "validation_report")}
     write_rows(record_rows(records), paths["data"], fmt)
-    write_rows(decision_rows(decisions.where("decision = 'rejected'"), build_id), paths["rejected"], fmt)
+    write_rows(decision_rows(decisions.where("decision = 'rejected'"), build_id, spec), paths["rejected"], fmt)
     write_rows(provenance_rows(records), paths["provenance"], fmt)
     _write_json(spark, manifest, paths["manifest"])
     _write_json(spark, statistics, paths["statistics"])
