@@ -308,7 +308,7 @@ def similar_links(sets: TrigramSets) -> tuple[DataFrame, DataFrame]:
     representatives = store(sets.representatives(), "representatives").df
     indexed = _index(representatives)
     index, threshold = indexed.df, sets.threshold
-    anchors = store(index.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("anchor"), F.count("*").alias("size")).where("size > 1").select("bucket", F.col("anchor.id").alias("a"), F.col("anchor.n").alias("na"), "size"), "anchors")
+    anchors = store(index.groupBy("bucket").agg(F.min("id").alias("a"), F.min_by("n", "id").alias("na"), F.count("*").alias("size")).where("size > 1"), "anchors")
     hot = hot_rows(anchors.df, "size", indexed.rows).drop("size")
     shared = store(lookup_join(index, "bucket", anchors.df.drop("size"), "bucket", hot).select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), "a", "na"), "shared-buckets").df
     first = shared.where((F.col("a") != F.col("b")) & _alike(threshold)).select("a", "b").distinct()
