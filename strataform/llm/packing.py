@@ -133,3 +133,14 @@ def fill_report(assignment: DataFrame, specs: list[tuple[str, int]]) -> DataFram
     totals = used.groupBy("spec_name").agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"))
     capacity = F.create_map(*[F.lit(x) for spec in specs for x in spec])
     return totals.withColumn("fill_rate", F.col("tokens") / (F.col("containers") * capacity[F.col("spec_name")]))
+
+
+def invariants(assignment: DataFrame, specs: list[tuple[str, int]]) -> DataFrame:
+    """``(spec_name, documents, tokens, overfull, needless_cuts)`` of each spec; the last two are 0."""
+    capacity = F.create_map(*[F.lit(x) for spec in specs for x in spec])[F.col("spec_name")]
+    pieces = assignment.groupBy("spec_name").agg(
+        F.count_if(F.col("piece_no") == 0).alias("documents"), F.sum("n_tokens").alias("tokens"), F.count_if((F.col("piece_no") > 0) & (F.col("doc_tokens") <= capacity)).alias("needless_cuts")
+    )
+    used = assignment.where("container_id is not null").groupBy("spec_name", "container_id").agg(F.sum("n_tokens").alias("used"))
+    overfull = used.groupBy("spec_name").agg(F.count_if(F.col("used") > capacity).alias("overfull"))
+    return pieces.join(overfull, "spec_name", "left").select("spec_name", "documents", "tokens", F.coalesce("overfull", F.lit(0)).cast("long").alias("overfull"), "needless_cuts")

@@ -103,6 +103,12 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(_packed(spark, d), specs)
 
 
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every packing: all tokens placed, no container overfull, no text cut that fits."""
+    specs = packing.read_specs(_table(spark, d, "container_specs"), "capacity_tokens")
+    return packing.invariants(_packed(spark, d), specs)
+
+
 def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
     return mixing.Mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))
 
@@ -119,6 +125,11 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every mixture: targets met where they can be, no text drawn too often, no shard overfull."""
+    return mixing.invariants(_mixture(spark, d))
+
+
 def _pieces(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
     specs = packing.read_specs(_table(spark, d, "split_specs"), "max_tokens", "overlap_tokens")
     return splitting.split_documents(_table(spark, d, "documents"), specs, with_text)
@@ -132,10 +143,15 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d, with_text=True)
 
 
+def p10_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of all pieces: within the limit, their text that of their tokens, nothing lost or doubled."""
+    return splitting.invariants(p10_pieces(spark, d), packing.read_specs(_table(spark, d, "split_specs"), "max_tokens", "overlap_tokens"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         p1_found, p1_signals, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p7_currency, p8_found, p8_assignment, p8_fill,
-        p9_found, p9_drawn, p9_shares, p10_found, p10_pieces,
+        p8_invariants, p9_found, p9_drawn, p9_shares, p9_invariants, p10_found, p10_pieces, p10_invariants,
     ]
     return {f.__name__: f for f in own}
 

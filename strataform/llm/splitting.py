@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataform.llm.tokens import token_spans
+from strataform.llm.tokens import token_count, token_spans
 
 CHARACTER, WORD, SENTENCE, PARAGRAPH, SECTION = range(5)
 LEVELS = ("character", "word", "sentence", "paragraph", "section")
@@ -116,3 +116,17 @@ def split_documents(documents: DataFrame, specs: list[tuple[str, int, int]], wit
 def oversized(pieces: DataFrame) -> DataFrame:
     """``(spec_name, doc_id)`` of the texts that were cut."""
     return pieces.where("piece_no = 0").select("spec_name", "doc_id").distinct()
+
+
+def invariants(pieces: DataFrame, specs: list[tuple[str, int, int]]) -> DataFrame:
+    """``(spec_name, documents, tokens, too_long, wrong_overlaps, wrong_texts)`` of each spec; the last three are 0.
+
+    ``tokens`` counts what each piece adds to the one before, which is every
+    token of the texts cut, once.
+    """
+    most, overlap = (F.create_map(*[F.lit(x) for s in specs for x in (s[0], s[at])])[F.col("spec_name")] for at in (1, 2))
+    wanted = F.when(F.col("piece_no") == 0, 0).otherwise(F.least(overlap, most - 1))
+    return pieces.groupBy("spec_name").agg(
+        F.count_if(F.col("piece_no") == 0).alias("documents"), F.sum(F.col("n_tokens") - F.col("overlap_tokens")).alias("tokens"), F.count_if(F.col("n_tokens") > most).alias("too_long"),
+        F.count_if(F.col("overlap_tokens") != wanted).alias("wrong_overlaps"), F.count_if(token_count(F.col("text")) != F.col("n_tokens")).alias("wrong_texts"),
+    )
