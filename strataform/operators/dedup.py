@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strataform.functions.text import character_ngrams, two_places
 from strataform.operators.components import connected_components
-from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, store
+from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, scratch, store
 
 THRESHOLD = 0.85
 SHINGLE = 3
@@ -289,8 +289,13 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
     A pair at the threshold is missed with a probability of ``MISS``, or never if
     ``exact``.
     """
-    if exact:
-        return _pigeonhole_pairs(documents, text, key, threshold)
+    with scratch() as keep:
+        found = _pigeonhole_pairs(documents, text, key, threshold) if exact else _banded_pairs(documents, text, key, threshold)
+        return keep(store(found, "similar-pairs")).df
+
+
+def _banded_pairs(documents: DataFrame, text: str, key: str, threshold: float) -> DataFrame:
+    """The pairs of ``similar_pairs`` that share a band."""
     sets = TrigramSets(documents, text, key, threshold)
     representatives = store(sets.representatives(), "representatives").df
     index = _index(representatives).df
@@ -334,10 +339,11 @@ def similar_classes(documents: DataFrame, text: str = "text", key: str = "doc_id
     The group id is the smallest key of the group.  A document that stands in
     several rows counts once.
     """
-    sets = TrigramSets(documents, text, key, threshold)
-    groups = similar_links(sets)[1]
-    joined = sets.members().distinct().join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("id").alias(key), F.coalesce("group_id", "class_id").alias("group_id"))
-    joined = store(joined.distinct(), "grouped", counted=True)
+    with scratch() as keep:
+        sets = TrigramSets(documents, text, key, threshold)
+        groups = similar_links(sets)[1]
+        joined = sets.members().distinct().join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("id").alias(key), F.coalesce("group_id", "class_id").alias("group_id"))
+        joined = keep(store(joined.distinct(), "grouped", counted=True))
     sizes = joined.df.groupBy("group_id").agg(F.count("*").alias("size")).where("size > 1")
     return lookup_join(joined.df, "group_id", sizes.select("group_id"), "group_id", hot_rows(sizes, "size", joined.rows).select("group_id")).select(key, "group_id")
 
@@ -411,6 +417,17 @@ def band_groups(sketched: DataFrame, key: str = "doc_id", bands: int = BANDS) ->
     return buckets.join(anchors, "bucket").where(F.col(key) != F.col("anchor")).select(key, "anchor").distinct()
 
 
+def sketch_links(documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, banding: str = "positional") -> DataFrame:
+    """``(a, b, similarity)``: documents verified against the least one of a bucket that they share in ``band_groups``.
+
+    Its recall is that of 16 bands of 8 rows, and that of the least members; see
+    ``similar_pairs`` for all pairs.
+    """
+    found = band_groups(sketches(documents.where(F.col(key).isNotNull()), text, key, banding), key).select(F.col("anchor").alias("a"), F.col(key).alias("b"))
+    sets = documents.select(F.col(key).alias("id"), _hashes(character_ngrams(F.col(text), SHINGLE)).alias("hashes"))
+    return verify(found, sets, threshold)
+
+
 def representatives(members: DataFrame) -> DataFrame:
     """``(group_id, doc_id, selection_basis)``: the best document of each group.
 

@@ -502,3 +502,8 @@ SQL["manifest_tree_checksum"] = f"""
     r as (select ('0x' || h[1:3])::int as run, count(*) as n, {" || ',' || ".join(f"sum(('0x' || h[{1 + 8 * i}:{8 + 8 * i}])::bigint)::varchar" for i in range(8))} as sums from h group by 1)
     select sum(n)::bigint as canonical_record_count, sha256(string_agg(run || ':' || n || ':' || sums, chr(10) order by run)) as sha256 from r
 """
+
+# The same conflicts if all artifacts were declared as JSON.
+SQL["misdeclared_formats"] = f"""
+    with {_CHECKED} select artifact_id, 'application/json' as declared_mime, detected_format, format_confidence as confidence from k where detected_format <> 'json'
+"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strataform.operators.dedup import TIERS, memberships, representatives
 from strataform.plans.spec import Specification, below_score, format_rule, language_rule, length_of, score, too_long, too_short
-from strataform.runtime import store
+from strataform.runtime import scratch, store
 
 # Reason codes of decisions.
 REJECTED_AS = {TIERS[0]: "exact_duplicate", TIERS[1]: "normalized_duplicate", TIERS[2]: "near_duplicate"}
@@ -76,30 +76,32 @@ def decide(corpus: DataFrame, spec: Specification, groups: DataFrame | None = No
     groups found earlier (see ``stored_groups``) instead of looking for them.
 
     Only narrow rows are kept and shuffled; texts are read where they lie, and
-    shuffled by no mode.
+    shuffled by no mode.  The decisions are written; all else is dropped.
     """
-    there = [F.col(c) if c in corpus.columns else F.lit(None).cast("string").alias(c) for c in FACTS]
-    facts = corpus.select(
-        "doc_id", *there, "raw_checksum", "warning_count", F.col("normalized_text").isNotNull().alias("has_text"),
-        length_of().cast("long").alias("text_characters"), score().alias("quality_score"), rule_reasons(spec).alias("reasons"),
-    )
-    judged = store(facts, "judged").df
-    mode = str(spec.get("deduplication", "mode", "none"))
-    passed = judged.where(F.size("reasons") == 0)
-    found = groups if groups is not None else _found_groups(corpus, passed, spec, mode)
-    joined = judged.join(found.select("doc_id", "tier", "group", "representative_id", "copy"), "doc_id", "left")
-    tier_reason = F.when(F.col("tier") == TIERS[0], REJECTED_AS[TIERS[0]]).when(F.col("tier") == TIERS[1], REJECTED_AS[TIERS[1]]).otherwise(REJECTED_AS[TIERS[2]])
-    copy = F.coalesce("copy", F.lit(False))
-    failed = F.size("reasons") > 0
-    kept_reason = F.array(F.when(F.lit(mode == "none" and groups is None), "accepted").when(F.col("group").isNotNull(), KEPT_AS).otherwise(UNIQUE))
-    judged = joined.withColumn("accepted", ~failed & ~copy).withColumn("reason_codes", F.when(failed, F.col("reasons")).when(copy, F.array(tier_reason)).otherwise(kept_reason))
-    most = spec.get("selection", "maximum_records")
-    if most is not None:
-        judged = _capped(judged, int(most))
-    return judged.select(
-        "doc_id", F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("decision"), "reason_codes", "quality_score", "text_characters", *FACTS,
-        F.col("group").alias("dedup_group_id"), "representative_id",
-    )
+    with scratch() as keep:
+        there = [F.col(c) if c in corpus.columns else F.lit(None).cast("string").alias(c) for c in FACTS]
+        facts = corpus.select(
+            "doc_id", *there, "raw_checksum", "warning_count", F.col("normalized_text").isNotNull().alias("has_text"),
+            length_of().cast("long").alias("text_characters"), score().alias("quality_score"), rule_reasons(spec).alias("reasons"),
+        )
+        judged = store(facts, "judged").df
+        mode = str(spec.get("deduplication", "mode", "none"))
+        passed = judged.where(F.size("reasons") == 0)
+        found = groups if groups is not None else _found_groups(corpus, passed, spec, mode)
+        joined = judged.join(found.select("doc_id", "tier", "group", "representative_id", "copy"), "doc_id", "left")
+        tier_reason = F.when(F.col("tier") == TIERS[0], REJECTED_AS[TIERS[0]]).when(F.col("tier") == TIERS[1], REJECTED_AS[TIERS[1]]).otherwise(REJECTED_AS[TIERS[2]])
+        copy = F.coalesce("copy", F.lit(False))
+        failed = F.size("reasons") > 0
+        kept_reason = F.array(F.when(F.lit(mode == "none" and groups is None), "accepted").when(F.col("group").isNotNull(), KEPT_AS).otherwise(UNIQUE))
+        judged = joined.withColumn("accepted", ~failed & ~copy).withColumn("reason_codes", F.when(failed, F.col("reasons")).when(copy, F.array(tier_reason)).otherwise(kept_reason))
+        most = spec.get("selection", "maximum_records")
+        if most is not None:
+            judged = _capped(judged, int(most))
+        decided = judged.select(
+            "doc_id", F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("decision"), "reason_codes", "quality_score", "text_characters", *FACTS,
+            F.col("group").alias("dedup_group_id"), "representative_id",
+        )
+        return keep(store(decided, "decisions")).df
 
 
 def _capped(judged: DataFrame, most: int) -> DataFrame:

@@ -185,6 +185,13 @@ def format_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return inventory.format_conflicts(*_characterized(spark, d))
 
 
+@query
+def misdeclared_formats(spark: SparkSession, d: str) -> DataFrame:
+    """The conflicts if every artifact were declared as JSON."""
+    artifacts, known = _characterized(spark, d)
+    return inventory.format_conflicts(artifacts.withColumn("content_type", F.lit("application/json; charset=utf-8")), known)
+
+
 @query
 def inventory_messages(spark: SparkSession, d: str) -> DataFrame:
     return inventory.message_counts(_characterized(spark, d)[1])
@@ -329,6 +336,16 @@ def _similar(spark: SparkSession, d: str, threshold: float) -> DataFrame:
     return found.select("a", "b", (F.floor(F.col("similarity") * 10000 + 0.5) / 10000).alias("similarity"))
 
 
+@query
+def sketch_bands_sorted(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.band_groups(dedup.sketches(_documents(spark, d), banding="sorted"))
+
+
+@query
+def sketch_links(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.sketch_links(_documents(spark, d), threshold=0.6)
+
+
 @query
 def near_dup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _similar(spark, d, dedup.THRESHOLD)
@@ -467,7 +484,7 @@ def top_k_selection(spark: SparkSession, d: str) -> DataFrame:
 
 def _built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Specification]:
     corpus, spec = store(_corpus(spark, d), "corpus").df, Specification(SPEC)
-    decisions = store(build.decide(corpus, spec), "decisions").df
+    decisions = build.decide(corpus, spec)
     return build.records(corpus, decisions, spec, "build"), decisions, spec
 
 

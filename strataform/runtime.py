@@ -11,6 +11,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -109,6 +111,24 @@ def store(df: DataFrame, name: str, counted: bool = False) -> Stored:
     return Stored(df, name, counted)
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[Stored], Stored]]:
+    """Drops on leaving every table stored inside, but for those handed to what it yields.
+
+    What is kept must be written tables or rows read from them alone.
+    """
+    before, kept = set(map(id, Stored._open)), set()
+
+    def keep(stored: Stored) -> Stored:
+        kept.add(id(stored))
+        return stored
+
+    yield keep
+    for stored in list(Stored._open):
+        if id(stored) not in before and id(stored) not in kept:
+            stored.drop()
+
+
 #: A table that comes in too few pieces is spread over the cores only up to this size.
 SPREAD_LIMIT_BYTES = 128 << 20
 

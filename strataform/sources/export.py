@@ -96,3 +96,13 @@ def export_package(folder: str, records: DataFrame, decisions: DataFrame, build_
     _write_json(spark, statistics, paths["statistics"])
     _write_json(spark, validation or {"status": "not_validated"}, paths["validation_report"])
     return paths
+
+
+def rewrite_duplicates(folder: str, groups: DataFrame, members: DataFrame) -> None:
+    """Replace the stored duplicate groups and memberships of a folder, memberships first.
+
+    Neither may be read from that folder: write them elsewhere before.
+    """
+    root = folder.rstrip("/")
+    members.write.mode("overwrite").parquet(f"{root}/duplicate_memberships.parquet")
+    groups.write.mode("overwrite").parquet(f"{root}/duplicate_groups.parquet")

@@ -155,3 +155,46 @@ def test_configuration(tmp_path):
             config.load(None, environment)
     with pytest.raises(ValueError, match="Unknown settings"):
         config.load(str(tmp_path / "b.json"), {})
+
+
+def test_registry_order_and_capabilities(spark):
+    from strataform.plans.registry import Registry
+
+    registry = Registry()
+    assert {s.kind for s in map(registry.get, registry.names())} == {"fetch", "extract", "store", "normalize", "deduplicate", "export"}
+    assert [s.name for s in registry.able("near_duplicate")] == ["trigram_jaccard"] and [s.name for s in registry.able("html")] == ["format_extractor"]
+    data = b"Some plain text of a page\n"
+    rows = [("a", "http://h.example/a.txt", "text/plain", bytearray(data), len(data), hashlib.sha256(data).hexdigest()), ("b", "http://h.example/b.txt", "text/plain", bytearray(data), len(data), "0")]
+    artifacts = spark.createDataFrame(rows, "artifact_id string, url string, content_type string, raw_data binary, size_bytes long, checksum_sha256 string")
+    out = registry.pipeline(artifacts, "jsonl_lines", "standard_normalizer", "format_extractor", "payload_reader", "shared_store").collect()
+    assert [json.loads(r.value)["doc_id"] for r in out] == ["a"] and json.loads(out[0].value)["normalized_text"] == data.decode()
+    with pytest.raises(ValueError, match="one stage of a kind"):
+        registry.pipeline(artifacts, "format_extractor", "text_metrics")
+
+
+def test_rewriting_duplicates(spark, tmp_path):
+    groups = spark.createDataFrame([(1, 2)], "group_id long, size long")
+    members = spark.createDataFrame([(1, 5), (1, 6)], "group_id long, doc_id long")
+    for _ in range(2):
+        export.rewrite_duplicates(f"file://{tmp_path}/d", groups, members)
+    assert spark.read.parquet(f"file://{tmp_path}/d/duplicate_memberships.parquet").count() == 2 and spark.read.parquet(f"file://{tmp_path}/d/duplicate_groups.parquet").count() == 1
+
+
+def test_sketch_links(spark):
+    words = " ".join(f"w{i}x{i * 7 % 13}" for i in range(80))
+    documents = spark.createDataFrame([(1, words), (2, words + " end"), (3, "something of another kind altogether"), (None, words), (4, None)], "doc_id long, text string")
+    assert [(r.a, r.b) for r in dedup.sketch_links(documents).collect()] == [(1, 2)]
+    assert dedup.sketch_links(documents, banding="sorted").where("similarity < 0.85").count() == 0
+
+
+def test_scratch_drops_what_is_not_kept(spark):
+    import os
+
+    from strataform.runtime import scratch, store
+
+    with scratch() as keep:
+        gone, kept = store(spark.range(3), "gone"), keep(store(spark.range(4), "kept", counted=True))
+    at = lambda stored: stored.path.removeprefix("file://")
+    assert not os.path.exists(at(gone)) and os.path.exists(at(kept)) and kept.rows == kept.df.count() == 4
+    kept.drop()
+    assert not os.path.exists(at(kept))

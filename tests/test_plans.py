@@ -84,7 +84,7 @@ def test_validation_and_export(corpus, tmp_path):
     assert validate.roll_up(checks).first().status == "pass" and checks.count() == 10
     bad = {r.check for r in validate.checks(records.union(records), spec, 9, n["accepted"], n["rejected"], "other").collect() if not r.passed}
     assert bad == {"record_counts", "duplicate_leakage", "specification_compliance", "rejection_accounting"}
-    manifest = validate.manifest(spec, "b1", n, validate.record_checksum(records))
+    manifest = validate.manifest(spec, "b1", n, validate.record_checksum(records, serial=True))
     assert manifest["record_checksums"]["canonical_record_count"] == 2
     import hashlib
 
