@@ -507,3 +507,11 @@ SQL["manifest_tree_checksum"] = f"""
 SQL["misdeclared_formats"] = f"""
     with {_CHECKED} select artifact_id, 'application/json' as declared_mime, detected_format, format_confidence as confidence from k where detected_format <> 'json'
 """
+_LINE = {
+    "record_id": "'build-' || d.doc_id", "source_record_id": "d.doc_id", "normalized_record_id": "d.doc_id", "canonical_record_id": "r.canonical_document_id", "raw_artifact_id": "r.artifact_id", "source_url": "r.source_url",
+    "language": "d.language", "quality_score": "d.score", "selection_reason": "d.reasons", "dedup_group_id": "r.grp",
+}
+SQL["exported_rows"] = f"""
+    with {_DECIDED} select '{{' || {" || ',' || ".join(f"'\"{k}\":' || coalesce(to_json({v})::varchar, 'null')" for k, v in _LINE.items())} || '}}' as value
+    from decided d join ranked r on r.doc_id = d.doc_id where d.decision = 'accepted'
+"""
