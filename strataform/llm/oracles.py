@@ -72,6 +72,14 @@ SQL |= {
         c as (select g.doc_id, any_value(g.n) as n, count(distinct g.i + k) as covered from g join f on f.doc_id = g.doc_id and f.g = g.g and g.i > f.first, (select unnest(range(0, 8)) as k) group by 1)
         select doc_id from c where covered >= 0.3 * n
     """,
+    "p1_shares": r"""
+        with w as (select doc_id, regexp_extract_all(lower(replace(coalesce(text, ''), 'İ', 'i')), '\p{L}+') as w from documents),
+        g as (select doc_id, i, w[i:i + 7] as g from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from w where len(w) >= 8)),
+        f as (select doc_id, g, min(i) as first from g group by 1, 2),
+        c as (select g.doc_id, count(distinct g.i + k) as covered from g join f on f.doc_id = g.doc_id and f.g = g.g and g.i > f.first, (select unnest(range(0, 8)) as k) group by 1)
+        select w.doc_id, len(w.w)::bigint as n_words, coalesce(c.covered, 0)::bigint as repeated_words, floor(coalesce(c.covered, 0) / greatest(len(w.w), 1) * 10000 + 0.5) / 10000 as repeated_share
+        from w left join c on c.doc_id = w.doc_id
+    """,
     "p2_cleaned": SQL["p2_found"].rsplit("select l.id, l.line_no", 1)[0]
     + r"""
         , cut as (select l.id, l.line_no from lines l join freq f on f.domain = l.domain and f.line = l.line join n on n.domain = l.domain where f.c >= 6 and f.c >= 0.1 * n.docs),

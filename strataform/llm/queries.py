@@ -22,6 +22,10 @@ def p1_signals(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition_signals(_table(spark, d, "documents"))
 
 
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetition_signals(_table(spark, d, "documents")).select("doc_id", "n_words", "repeated_words", (F.floor(F.col("repeated_share") * 10000 + 0.5) / 10000).alias("repeated_share"))
+
+
 def _site_lines(spark: SparkSession, d: str) -> sitelines.SiteLines:
     return sitelines.SiteLines(_table(spark, d, "normalized_documents"), _table(spark, d, "resources"))
 
@@ -150,7 +154,7 @@ def p10_invariants(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_signals, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p7_currency, p8_found, p8_assignment, p8_fill,
+        p1_found, p1_signals, p1_shares, p2_found, p2_cleaned, p2_lines, p3_found, p3_main_body, p4_found, p4_statistics, p5_found, p5_languages, p5_segments, p6_found, p7_found, p7_records, p7_currency, p8_found, p8_assignment, p8_fill,
         p8_invariants, p9_found, p9_drawn, p9_shares, p9_invariants, p10_found, p10_pieces, p10_invariants,
     ]
     return {f.__name__: f for f in own}
