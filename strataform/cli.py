@@ -13,7 +13,7 @@ from strataform import queries
 from strataform.operators import characterize, dedup, extract, inventory, normalize, quality
 from strataform.plans import build, feasibility, validate
 from strataform.plans.spec import Specification, errors
-from strataform.runtime import local_session, store
+from strataform.runtime import local_session
 from strataform.sources import catalog, export
 
 
@@ -87,7 +87,7 @@ def main(arguments: list[str] | None = None) -> int:
     except ValueError as e:
         print(e, file=sys.stderr)
         return 1
-    corpus = store(catalog.corpus_view(tables.table("normalized_documents")), "corpus").df
+    corpus = catalog.corpus_view(tables.table("normalized_documents"))
     verdict = feasibility.report(corpus, spec)
     if a.command == "feasibility" or verdict["feasibility"] != "pass" and not a.allow_invalid:
         print(json.dumps(verdict, indent=1))

@@ -483,7 +483,7 @@ def top_k_selection(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Specification]:
-    corpus, spec = store(_corpus(spark, d), "corpus").df, Specification(SPEC)
+    corpus, spec = _corpus(spark, d), Specification(SPEC)
     decisions = build.decide(corpus, spec)
     return build.records(corpus, decisions, spec, "build"), decisions, spec
 
