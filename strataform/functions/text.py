@@ -43,8 +43,12 @@ def two_places(number: Column) -> Column:
     return F.format_string("%.2f", F.floor(number * 100 + 0.5) / 100)
 
 
+def flattened(text: Column) -> Column:
+    """A text in lower case with blanks collapsed."""
+    return F.lower(F.trim(F.regexp_replace(text, f"[{BLANK}]+", " ")))
+
+
 def character_ngrams(text: Column, n: int) -> Column:
     """Distinct character n-grams of a text in lower case with blanks collapsed; none below n characters."""
-    flat = F.lower(F.trim(F.regexp_replace(text, f"[{BLANK}]+", " ")))
-    grams = F.regexp_extract_all(flat, F.lit(f"(?s)(?=({'.' * n}))."), F.lit(1))
+    grams = F.regexp_extract_all(flattened(text), F.lit(f"(?s)(?=({'.' * n}))."), F.lit(1))
     return F.when(F.length(text) >= n, F.array_distinct(F.filter(grams, lambda g: g != ""))).otherwise(F.array().cast("array<string>"))

@@ -9,6 +9,10 @@ bucket are weighed by a short sketch, and what may reach the threshold is
 verified on whole sets.  ``exact=True`` takes the pigeonhole principle instead
 (below), which misses nothing and whose cost grows faster than the collection.
 
+Where the threshold lies so low that the bands allowed have few rows, buckets hold
+pairs that have no more in common than any two texts.  Their pairs are too many to
+be written, so sets are then compared block by block (``blocks``).
+
 Groups need no pair inside a bucket whose members are linked already: each
 member is verified against its bucket's least one first, and pairs are looked at
 only across the groups so found.  Equal sets are one class and compared once.
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +37,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataform.functions.text import character_ngrams, two_places
+from strataform.functions.text import character_ngrams, flattened, two_places
+from strataform.operators import blocks
 from strataform.operators.components import connected_components
-from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, scratch, store
+from strataform.runtime import BROADCAST_LIMIT_BYTES, Stored, hot_rows, lookup_join, scratch, store, tasks_apart
 
 THRESHOLD = 0.85
 SHINGLE = 3
@@ -45,6 +51,12 @@ MISS = 1e-4
 BACKGROUND = 0.5
 #: Bands at most; they then have fewer rows, and buckets more pairs to weigh.
 MOST_BANDS = 160
+#: Bands that two texts with nothing but the background in common may share on average; beyond, sets are compared by blocks.
+MOST_SHARED = 0.05
+#: Trigrams that get a code, at most; they and their counts are sent to the driver.
+MOST_CODES = 1 << 20
+#: Pairs of blocks that one job compares.
+MOST_TASKS = 256
 TIERS = ("raw_exact", "normalized_exact", "near_duplicate")
 
 
@@ -147,6 +159,12 @@ def band_plan(threshold: float, sets: int) -> tuple[int, int]:
     return rows, needed(rows)
 
 
+def crowded(threshold: float, sets: int) -> bool:
+    """Whether the bands of so many sets would put most of any two texts in a bucket together."""
+    rows, bands = band_plan(threshold, sets)
+    return bands * BACKGROUND**rows > MOST_SHARED and sets > 1 and rows < math.log2(sets)
+
+
 def _hashes(grams: Column) -> Column:
     return F.transform(grams, lambda g: F.xxhash64(g))
 
@@ -197,6 +215,50 @@ class TrigramSets:
         return verify(near.df, sets.df, self.threshold)
 
 
+class CodedSets(TrigramSets):
+    """The trigram sets of ``documents(key, text)`` as rows of packed codes, for ``blocks``: class, size and codes."""
+
+    def __init__(self, documents: DataFrame, text: str, key: str, threshold: float):
+        self.threshold, self.kind = threshold, documents.schema[key].dataType.simpleString()
+        kept = documents.where(F.col(key).isNotNull() & (F.length(text) >= SHINGLE))
+        texts = kept.select(F.col(key).alias("id"), flattened(F.col(text)).alias("text"))
+        counted = texts.mapInArrow(blocks.count_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+        known = store(counted, "trigrams", counted=True)
+        codes = known.df.orderBy(F.desc("n"), "key").limit(MOST_CODES).select("key").toArrow()["key"].to_numpy()
+        self.known = codes.size
+        encode = blocks.encoder(codes, known.rows <= MOST_CODES)
+        self.signed = store(texts.mapInArrow(encode, f"id {self.kind}, n int, class binary, codes binary, rare array<long>"), "signed-sets", counted=True)
+        self.classes = store(self.signed.df.groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("size")).where("size > 1"), "set-classes")
+        self.hot = hot_rows(self.classes.df, "size", self.signed.rows).select("class", "class_id")
+
+    def representatives(self) -> DataFrame:
+        """``(id, n, codes, rare)``: one row for each distinct set."""
+        kept = self._joined(["n", "codes", "rare"]).where("class_id is null or class_id = id")
+        return kept.dropDuplicates(["class", "id"]).select("id", "n", "codes", "rare")
+
+    def compared(self, linked: bool = False) -> DataFrame:
+        """``(a, b, similarity)`` of all pairs that reach the threshold or, if ``linked``, of as many as join the same sets."""
+        sizes = self.signed.df.groupBy("n").count().collect()
+        ranges = blocks.size_ranges([tuple(r) for r in sizes])
+        number = F.lit(0)
+        parts: list[tuple[int, int, float]] = []
+        for low, high, sets, count in ranges:
+            part = len(parts) + (F.pmod(F.xxhash64("id"), F.lit(count)).cast("int") if count > 1 else F.lit(0))
+            number = F.when(F.col("n") >= low, part).otherwise(number) if low > ranges[0][0] else part
+            parts += [(low, high, sets / count)] * count
+        written = store(self.representatives().withColumn("block", number).repartition("block"), "blocks", by="block").df
+        pairs = [(x, y) for y in range(len(parts)) for x in range(y + 1) if parts[x][1] >= self.threshold * parts[y][0] - 1e-9]
+        # The largest first, so that none of them is left to the end.
+        pairs.sort(key=lambda p: -parts[p[0]][2] * parts[p[1]][2] / (1 + (p[0] == p[1])))
+        compare, found = blocks.comparer(self.threshold, self.known, linked), []
+        for at in range(0, len(pairs), MOST_TASKS):
+            tasks = [written.where(F.col("block").isin(x, y)).coalesce(1).withColumn("alone", F.lit(x == y)) for x, y in pairs[at : at + MOST_TASKS]]
+            rows = reduce(DataFrame.unionByName, tasks).mapInArrow(compare, f"a {self.kind}, b {self.kind}, similarity double")
+            with tasks_apart(self.signed.spark):
+                found.append(store(rows, "compared").df)
+        return reduce(DataFrame.unionByName, found) if found else self.signed.spark.createDataFrame([], f"a {self.kind}, b {self.kind}, similarity double")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """``(a, b, similarity)`` of pairs of ``sets(id, hashes)`` whose similarity reaches the threshold."""
     side = lambda name: sets.select(F.col("id").alias(name), F.col("hashes").alias(f"g{name}"))
@@ -310,6 +372,9 @@ def similar_links(sets: TrigramSets) -> tuple[DataFrame, DataFrame]:
     A bucket of any size gives one pair a member, and further pairs only between
     members that those links leave in different groups.
     """
+    if isinstance(sets, CodedSets):
+        links = store(sets.compared(linked=True).select(F.col("a").alias("u"), F.col("b").alias("v")), "links").df
+        return links, connected_components(links)
     representatives = store(sets.representatives(), "representatives").df
     indexed = _index(representatives)
     index, threshold = indexed.df, sets.threshold
@@ -340,7 +405,8 @@ def similar_classes(documents: DataFrame, text: str = "text", key: str = "doc_id
     several rows counts once.
     """
     with scratch() as keep:
-        sets = TrigramSets(documents, text, key, threshold)
+        kind = CodedSets if crowded(threshold, documents.count()) else TrigramSets
+        sets = kind(documents, text, key, threshold)
         groups = similar_links(sets)[1]
         joined = sets.members().distinct().join(groups.withColumnRenamed("id", "class_id"), "class_id", "left").select(F.col("id").alias(key), F.coalesce("group_id", "class_id").alias("group_id"))
         joined = keep(store(joined.distinct(), "grouped", counted=True))

@@ -63,16 +63,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 class Stored:
     """A written intermediate table; ``drop`` removes its files.
 
-    ``rows`` is how many were written, if they were counted on the way.
+    ``rows`` is how many were written, if they were counted on the way; ``by``
+    names a column whose values are to lie in files of their own.
     """
 
     _open: list[Stored] = []
 
-    def __init__(self, df: DataFrame, name: str, counted: bool = False):
+    def __init__(self, df: DataFrame, name: str, counted: bool = False, by: str | None = None):
         self.spark = df.sparkSession
         self.path = f"{checkpoint_root(self.spark)}/strataform/{name}-{uuid.uuid4().hex}"
         seen = Observation() if counted else None
-        (df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df).write.parquet(self.path)
+        (df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df).write.parquet(self.path, partitionBy=by)
         self.rows: int = seen.get["rows"] if seen else -1
         self.schema = df.schema
         Stored._open.append(self)
@@ -106,9 +107,9 @@ def _drop_open() -> None:
             break
 
 
-def store(df: DataFrame, name: str, counted: bool = False) -> Stored:
+def store(df: DataFrame, name: str, counted: bool = False, by: str | None = None) -> Stored:
     """Write ``df`` to the shared folder and cut its lineage there."""
-    return Stored(df, name, counted)
+    return Stored(df, name, counted, by)
 
 
 @contextmanager
@@ -129,6 +130,21 @@ def scratch() -> Iterator[Callable[[Stored], Stored]]:
             stored.drop()
 
 
+@contextmanager
+def tasks_apart(spark: SparkSession) -> Iterator[None]:
+    """Inside, a union keeps the tasks of its parts; Spark would run parts of one task each as one task together."""
+    name = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 #: A table that comes in too few pieces is spread over the cores only up to this size.
 SPREAD_LIMIT_BYTES = 128 << 20
 
