@@ -352,7 +352,12 @@ def similar_pairs(documents: DataFrame, text: str = "text", key: str = "doc_id",
     ``exact``.
     """
     with scratch() as keep:
-        found = _pigeonhole_pairs(documents, text, key, threshold) if exact else _banded_pairs(documents, text, key, threshold)
+        if exact:
+            found = _pigeonhole_pairs(documents, text, key, threshold)
+        elif crowded(threshold, documents.count()):
+            found = CodedSets(documents, text, key, threshold).compared()
+        else:
+            found = _banded_pairs(documents, text, key, threshold)
         return keep(store(found, "similar-pairs")).df
 
 

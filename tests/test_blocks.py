@@ -84,7 +84,7 @@ def test_low_thresholds_write_no_more_than_the_texts(spark, monkeypatch):
     rows = list(enumerate(_texts(600, words=4000)))
     documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     texts = sum(len(t or "") for _, t in rows)
-    for find in (dedup.similar_classes,):
+    for find in (dedup.similar_pairs, dedup.similar_classes):
         written.clear()
         assert find(documents, threshold=0.6).count()
         assert sum(written.values()) < 2 * texts, written
