@@ -14,12 +14,16 @@ id keeps all its leaves.)  Every hash serves two rounds: a star's leaves find in
 the second the one that their centre was hooked to in the first.  The smallest
 id of a group names it in the end.
 
+Edges that are too many for one task are thinned first: a task keeps of those it
+reads only what joins the same nodes, so dense groups shrink to about their nodes.
+
 Once the edges left are few, a count that is measured and bounded, one task
 finishes them by the same rule in memory.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +83,33 @@ def least_labels(u: np.ndarray, v: np.ndarray, nodes: int) -> np.ndarray:
     return label
 
 
+def _labelled(rows: list[pa.RecordBatch]) -> tuple[pa.Array, np.ndarray]:
+    """The nodes of the edges in ``rows``, and for each the place of the one that labels its group."""
+    ends = [pa.chunked_array([b.column(i) for b in rows]).combine_chunks() for i in (0, 1)]
+    names = pc.unique(pa.chunked_array(ends))
+    at = [pc.index_in(e, names).to_numpy(zero_copy_only=False).astype(np.int64) for e in ends]
+    return names, least_labels(at[0], at[1], len(names))
+
+
+def _forest(edges: DataFrame, most: int) -> DataFrame:
+    """Edges ``(u, v)`` that join the same nodes: of every ``most`` or so that a task reads, one for each node but one of a group."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+            if held and (batch is None or sum(b.num_rows for b in held) >= most):
+                names, label = _labelled(held)
+                led = np.flatnonzero(label != np.arange(label.size))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(label[led])), names.take(pa.array(led))], names=["u", "v"])
+                held = []
+
+    found = edges.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def _finish(edges: DataFrame) -> DataFrame:
     """``(id, label)`` of the nodes of a bounded number of edges, worked out in one task."""
     kind = edges.schema["u"].dataType.simpleString()
@@ -87,10 +118,7 @@ def _finish(edges: DataFrame) -> DataFrame:
         rows = list(batches)
         if not rows:
             return
-        ends = [pa.chunked_array([b.column(i) for b in rows]).combine_chunks() for i in (0, 1)]
-        names = pc.unique(pa.chunked_array(ends))
-        at = [pc.index_in(e, names).to_numpy(zero_copy_only=False).astype(np.int64) for e in ends]
-        label = least_labels(at[0], at[1], len(names))
+        names, label = _labelled(rows)
         yield pa.RecordBatch.from_arrays([names, names.take(pa.array(label))], names=["id", "label"])
 
     return edges.select("u", "v").coalesce(1).mapInArrow(run, f"id {kind}, label {kind}")
@@ -109,6 +137,11 @@ def connected_components(edges: DataFrame, finish_edges: int = FINISH_EDGES, lea
     known = edges.where("u <> v").select(F.when(ends, F.col("u")).otherwise(F.col("v")).alias("u"), F.when(ends, F.col("v")).otherwise(F.col("u")).alias("v"))
     current = store(known.distinct(), "edges", counted=True)
     levels: list[Stored] = []
+    if not least_rounds and 0 < finish_edges < current.rows:
+        # Where groups are dense, few of their edges are needed.
+        thinned = store(_forest(current.df, finish_edges).distinct(), "edges", counted=True)
+        current.drop()
+        current = thinned
     while current.rows:
         turn = len(levels)
         if turn >= least_rounds and current.rows <= finish_edges:

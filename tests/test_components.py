@@ -64,6 +64,15 @@ def test_hot_labels(spark, monkeypatch):
     assert got == brute(edges)
 
 
+def test_dense_groups_need_no_rounds(spark):
+    # Far more edges than one task may take, on few nodes: what joins the nodes is few.
+    edges = [(c * 1000 + i, c * 1000 + j) for c in range(5) for i in range(60) for j in range(i)]
+    rounds = []
+    frame = spark.createDataFrame(edges, "u long, v long")
+    got = {r.id: r.group_id for r in connected_components(frame, finish_edges=2000, rounds=rounds).collect()}
+    assert got == brute(edges) and rounds == []
+
+
 def test_least_labels():
     rng = np.random.default_rng(2)
     u, v = rng.integers(0, 300, 250), rng.integers(0, 300, 250)
