@@ -438,8 +438,10 @@ def shared_bands(pairs: DataFrame, buckets: DataFrame, key: str = "doc_id") -> D
     """The pairs ``(a, b, ...)`` with ``shared_bands``, the bands of ``band_buckets`` that both documents share; 0 if none."""
     pairs = store(pairs, "pairs").df
     ids = pairs.select(F.explode(F.array("a", "b")).alias(key)).distinct()
-    lists = buckets.join(ids, key, "left_semi").groupBy(key).agg(F.collect_set("bucket").alias("buckets"))
-    side = lambda name: lists.select(F.col(key).alias(name), F.col("buckets").alias(f"k{name}"))
+    lists = store(buckets.join(ids, key, "left_semi").groupBy(key).agg(F.collect_set("bucket").alias("buckets")), "bucket-lists")
+    # The lists are wider than the pairs, which are the more: where they may, they go to the pairs.
+    known = F.broadcast(lists.df) if lists.size_bytes() <= BROADCAST_LIMIT_BYTES // 2 else lists.df
+    side = lambda name: known.select(F.col(key).alias(name), F.col("buckets").alias(f"k{name}"))
     joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
     return joined.select(*pairs.columns, F.coalesce(F.size(F.array_intersect("ka", "kb")), F.lit(0)).cast("long").alias("shared_bands"))
 
@@ -459,9 +461,13 @@ def sketches(documents: DataFrame, text: str = "text", key: str = "doc_id", band
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for grams in batch.column(1).to_pylist():
-                h = np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in grams], np.uint64)
-                mixed = h[:, None] * SEEDS
+            # A trigram is hashed once for all the texts of a batch that have it.
+            coded = batch.column(1).flatten().dictionary_encode()
+            hashes = np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in coded.dictionary.to_pylist()], np.uint64)
+            places = coded.indices.to_numpy()
+            ends = np.cumsum(batch.column(1).value_lengths().to_numpy())
+            for start, end in zip([0, *ends[:-1]], ends):
+                mixed = hashes[places[start:end]][:, None] * SEEDS
                 mixed ^= mixed >> np.uint64(32)
                 mixed *= np.uint64(0x9E3779B97F4A7C15)
                 low = (mixed >> np.uint64(1)).min(0).astype(np.int64)

@@ -12,7 +12,7 @@ from strataform.operators import characterize as ch
 from strataform.operators import dedup, extract, inventory, language, normalize, quality
 from strataform.plans import build, feasibility, validate
 from strataform.plans.spec import Specification
-from strataform.runtime import spread, store
+from strataform.runtime import BROADCAST_LIMIT_BYTES, spread, store
 from strataform.sources import catalog, export
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,7 +374,11 @@ def near_group_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def near_pair_bands(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.shared_bands(_similar(spark, d, 0.6), dedup.band_buckets(dedup.sketches(_documents(spark, d))))
+    pairs = store(_similar(spark, d, 0.6), "pairs").df
+    # Only documents of a pair need a sketch.
+    paired = store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired")
+    ids = F.broadcast(paired.df) if paired.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES else paired.df
+    return dedup.shared_bands(pairs, dedup.band_buckets(dedup.sketches(_documents(spark, d).join(ids, "doc_id", "left_semi"))))
 
 
 @query

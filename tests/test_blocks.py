@@ -88,3 +88,29 @@ def test_low_thresholds_write_no_more_than_the_texts(spark, monkeypatch):
         written.clear()
         assert find(documents, threshold=0.6).count()
         assert sum(written.values()) < 2 * texts, written
+
+
+def test_sketches_are_made_for_documents_of_a_pair_alone(spark, tmp_path, monkeypatch):
+    from strataform import queries
+
+    rows = list(enumerate(_texts(60, words=4000)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    documents.selectExpr("*", "'en' as lang", "'s' as source").write.parquet(f"{tmp_path}/documents.parquet")
+    sketched, before = [], dedup.sketches
+
+    def counted(texts, *rest, **named):
+        sketched.extend(r.doc_id for r in texts.select("doc_id").collect())
+        return before(texts, *rest, **named)
+
+    monkeypatch.setattr(dedup, "sketches", counted)
+    found = {(r.a, r.b): r.shared_bands for r in queries.near_pair_bands(spark, str(tmp_path)).collect()}
+    want, sets = _brute(spark, documents, 0.6)
+    assert found.keys() == want.keys() and sorted(sketched) == sorted({i for pair in want for i in pair}) and len(sketched) < len(sets)
+    # Against sketches made of one trigram at a time.
+    buckets = {i: set() for i in sketched}
+    for i in sketched:
+        mixed = np.array([dedup.xxhash.xxh64_intdigest(g.encode()) for g in sets[i]], np.uint64)[:, None] * dedup.SEEDS
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        low = (mixed >> np.uint64(1)).min(0)
+        buckets[i] = {(k, tuple(low[k * 8 : k * 8 + 8].tolist())) for k in range(dedup.BANDS)}
+    assert found == {(a, b): len(buckets[a] & buckets[b]) for a, b in want} and any(found.values())
