@@ -378,7 +378,9 @@ def near_pair_bands(spark: SparkSession, d: str) -> DataFrame:
     # Only documents of a pair need a sketch.
     paired = store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired")
     ids = F.broadcast(paired.df) if paired.size_bytes() * 4 <= BROADCAST_LIMIT_BYTES else paired.df
-    return dedup.shared_bands(pairs, dedup.band_buckets(dedup.sketches(_documents(spark, d).join(ids, "doc_id", "left_semi"))))
+    # Written, or trigrams would be made of all texts before the join.
+    texts = store(_documents(spark, d).join(ids, "doc_id", "left_semi").select("doc_id", "text"), "paired-texts").df
+    return dedup.shared_bands(pairs, dedup.band_buckets(dedup.sketches(texts)))
 
 
 @query
